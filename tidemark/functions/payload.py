@@ -1,23 +1,25 @@
-"""Expressions over one parsed JSON payload (a VARIANT column)."""
+"""Expressions over the fields of a parsed JSON payload (a VARIANT column)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
 # Forms a time text may take. Beyond 2e10 a number counts milliseconds.
 CLOCK_TEXT = (
     r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?$"
 )
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 NUMBER_TEXT = r"^[+-]?\d+(\.\d+)?$"
-MILLISECONDS_FROM = 2e10
+MILLISECONDS_FROM = 20_000_000_000
 FIRST_SECOND = -62135596800  # 0001-01-01T00:00:00Z
 LAST_SECOND = 253402300799  # 9999-12-31T23:59:59Z
 
+# Text that is already stored form: seconds given, and a fraction of six digits or none.
+STORED_TEXT = (
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.(?!000000)\d{6})?(Z|[+-](?!00:00)\d{2}:\d{2})?$"
+)
+
 
 def kind(payload: Column, path: str = "$") -> Column:
     """JSON type at `path`: STRING, BIGINT, OBJECT<...>, ..., VOID for null; NULL if missing."""
@@ -40,78 +42,50 @@ def is_object(kind_: Column) -> Column:
     return kind_.startswith("OBJECT")
 
 
-@dataclass(frozen=True)
-class EventTime:
-    """A client's time value: the UTC instant, and the text that is stored for it."""
-
-    instant: Column
-    stored: Column
-
+def _epoch(value: Column) -> Column:
+    """Seconds or milliseconds since 1970, NULL outside the years 1 to 9999."""
+    number = value.try_cast("decimal(38,6)")
+    scale = F.when(F.abs(number) > MILLISECONDS_FROM, 1_000).otherwise(1_000_000)
+    micros = F.round(number * scale)
+    in_range = micros.between(FIRST_SECOND * 10**6, LAST_SECOND * 10**6 + 999_999)
+    return F.timestamp_micros(F.when(in_range, micros).cast("bigint"))
 
-def _fraction(micros: Column) -> Column:
-    return F.when(micros > 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
 
+def instant(value: Column, kind_: Column) -> Column:
+    """The UTC instant a client's time value means, NULL if it means none.
 
-def _clock_time(value: Column) -> EventTime:
-    rest = F.substring(value, 17, 1_000)
-    seconds = F.when(rest.startswith(":"), F.substring(rest, 2, 2)).otherwise("00")
-    micros = F.rpad(F.regexp_extract(rest, r"[.,](\d{1,6})", 1), 6, "0").cast("int")
-    zone = F.regexp_extract(rest, r"([Zz]|[+-]\d{2}:?\d{2})$", 1)
-    offset_hours = F.substring(zone, 2, 2).try_cast("int")
-    offset_minutes = F.substring(zone, -2, 2).try_cast("int")
-    sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    shifted = F.coalesce(offset_hours * 60 + offset_minutes, F.lit(0))
-
-    clock = F.concat(F.substring(value, 12, 5), F.lit(":"), seconds)
-    local = F.concat(
-        F.substring(value, 1, 10), F.lit("T"), clock, F.coalesce(_fraction(micros), F.lit(""))
-    )
-    instant = F.concat(local, F.lit("Z")).try_cast("timestamp") - F.make_dt_interval(
-        mins=sign * shifted
-    )
-    in_range = F.coalesce((offset_hours < 24) & (offset_minutes < 60), F.lit(True))
-    stored_zone = (
-        F.when(zone == "", "")
-        .when(shifted == 0, "Z")
-        .otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2)))
+    ISO text with an offset up to 18 hours or without one (then UTC), a date, or a number
+    of seconds or milliseconds since 1970.
+    """
+    iso = F.translate(value, "t_z,", "TTZ.").try_cast("timestamp")
+    clock = value.rlike(CLOCK_TEXT) | value.rlike(DATE_TEXT)
+    return F.when(is_text(kind_) & clock, iso).when(
+        is_number(kind_) | (is_text(kind_) & value.rlike(NUMBER_TEXT)), _epoch(value)
     )
-    return EventTime(F.when(in_range, instant), F.concat(local, stored_zone))
 
 
-def _epoch_time(value: Column) -> EventTime:
-    number = value.try_cast("decimal(38,10)")
-    seconds = F.when(F.abs(number) > MILLISECONDS_FROM, number / 1000).otherwise(number)
-    micros = F.when(
-        seconds.between(FIRST_SECOND, LAST_SECOND), F.round(seconds * 1_000_000).cast("bigint")
-    )
-    instant = F.timestamp_micros(micros)
-    fraction = F.coalesce(_fraction(F.pmod(micros, F.lit(1_000_000))), F.lit(""))
-    stored = F.concat(
-        F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z")
+def stored_text(value: Column, instant_: Column) -> Column:
+    """The time as ISO text: seconds always, six fraction digits or none, offset as sent."""
+    zone = F.regexp_extract(F.substring(value, 17, 100_000), r"([Zz]|[+-]\d{2}:?\d{2})$", 1)
+    minutes = _offset_minutes(zone)
+    wall = instant_ + F.make_dt_interval(mins=minutes)
+    shown_zone = (
+        F.when(value.rlike(NUMBER_TEXT) | zone.isin("Z", "z"), "Z")
+        .when(zone == "", "")
+        .when(minutes == 0, "Z")
+        .otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2)))
     )
-    return EventTime(instant, stored)
-
-
-def event_time(payload: Column, path: str) -> EventTime:
-    """ISO text with or without an offset, a date, or seconds/milliseconds since 1970.
-
-    A value that is no time has a NULL instant. Text without an offset is UTC.
-    """
-    value, kind_ = text(payload, path), kind(payload, path)
-    clock, epoch = _clock_time(value), _epoch_time(value)
-    midnight = EventTime(
-        F.concat(value, F.lit("T00:00:00Z")).try_cast("timestamp"),
-        F.concat(value, F.lit("T00:00:00")),
+    fraction = F.date_format(instant_, ".SSSSSS")
+    rewritten = F.concat(
+        F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(fraction == ".000000", "").otherwise(fraction),
+        shown_zone,
     )
-    of_epoch = is_number(kind_) | (is_text(kind_) & value.rlike(NUMBER_TEXT))
-
-    def choose(field: str) -> Column:
-        return (
-            F.when(is_text(kind_) & value.rlike(CLOCK_TEXT), getattr(clock, field))
-            .when(is_text(kind_) & value.rlike(DATE_TEXT), getattr(midnight, field))
-            .when(of_epoch, getattr(epoch, field))
-        )
-
-    return EventTime(choose("instant"), choose("stored"))
+    return F.when(value.rlike(STORED_TEXT), value).otherwise(rewritten)
 
 
+def _offset_minutes(zone: Column) -> Column:
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    hours = F.substring(zone, 2, 2).try_cast("int")
+    minutes = F.substring(zone, -2, 2).try_cast("int")
+    return F.coalesce(sign * (hours * 60 + minutes), F.lit(0))

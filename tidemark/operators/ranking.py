@@ -47,7 +47,7 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     offsets = sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy("bucket").orderBy("place"))
     return (
-        bucketed.join(F.broadcast(offsets), "bucket")
+        bucketed.join(F.broadcast(offsets), "bucket", "left")
         .select(key, value, (F.col("before") + inside).alias("rn"))
         .orderBy("rn")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import payload as P
 from tidemark.functions.times import partition_columns
-from tidemark.schema import EVENT_TYPES, PARTITION_COLUMNS, REQUIRED_FIELDS
+from tidemark.schema import EVENT_TYPES, PARTITION_COLUMNS, QUARANTINE, REQUIRED_FIELDS
 
 # What a client is told about each kind of fault.
 MESSAGES = {
@@ -22,6 +22,9 @@ MESSAGES = {
 }
 
 
+FAULTS = QUARANTINE["errors"].dataType
+
+
 def _fault(type_: str, loc: str, when: Column) -> Column:
     fault = F.struct(
         F.lit(type_).alias("type"), F.lit(loc).alias("loc"), F.lit(MESSAGES[type_]).alias("msg")
@@ -29,24 +32,55 @@ def _fault(type_: str, loc: str, when: Column) -> Column:
     return F.when(when, fault)
 
 
-def _field_faults(payload: Column, instant: Column) -> list[Column]:
+def _faults() -> list[Column]:
     faults = []
     for field in REQUIRED_FIELDS:
-        kind = P.kind(payload, f"$.{field}")
+        kind, value = F.col(f"{field}_kind"), F.col(f"{field}_value")
         faults.append(_fault("missing", field, kind.isNull()))
         if field == "event_type":
-            known = P.is_text(kind) & P.text(payload, f"$.{field}").isin(EVENT_TYPES)
-            faults.append(_fault("enum", field, kind.isNotNull() & ~known))
+            known = P.is_text(kind) & value.isin(EVENT_TYPES)
+            faults.append(_fault("enum", field, ~known))
         elif field == "timestamp":
             timelike = P.is_text(kind) | P.is_number(kind)
             faults.append(_fault("datetime_type", field, ~timelike))
-            faults.append(_fault("datetime_parsing", field, timelike & instant.isNull()))
+            faults.append(_fault("datetime_parsing", field, timelike & F.col("instant").isNull()))
         else:
             faults.append(_fault("string_type", field, ~P.is_text(kind)))
-    faults.append(_fault("dict_type", "metadata", ~P.is_object(P.kind(payload, "$.metadata"))))
+    faults.append(_fault("dict_type", "metadata", ~P.is_object(F.col("metadata_kind"))))
     return faults
 
 
+def _valid() -> Column:
+    """No fault; the many valid records need no list of faults to be built and emptied."""
+    condition = P.is_object(F.col("payload_kind")) & F.col("instant").isNotNull()
+    for field in REQUIRED_FIELDS:
+        if field != "timestamp":
+            condition = condition & P.is_text(F.col(f"{field}_kind"))
+    metadata_kind = F.col("metadata_kind")
+    return (
+        condition
+        & F.col("event_type_value").isin(EVENT_TYPES)
+        & (metadata_kind.isNull() | P.is_object(metadata_kind))
+    )
+
+
+def _read_fields(raw: DataFrame, column: str) -> DataFrame:
+    """Kind and text of every field of every record.
+
+    `inline` over a single struct gives one row per row. It is there because a filter on
+    its result stays above it: otherwise the optimizer would copy the JSON parsing into
+    each condition that looks at a field.
+    """
+    payload = F.col("payload")
+    fields = [P.kind(payload).alias("payload_kind")]
+    for field in [*REQUIRED_FIELDS, "metadata"]:
+        fields.append(P.kind(payload, f"$.{field}").alias(f"{field}_kind"))
+        fields.append(P.text(payload, f"$.{field}").alias(f"{field}_value"))
+    return raw.select(
+        F.col(column).alias("raw"), F.try_parse_json(F.col(column)).alias("payload")
+    ).select("raw", F.inline(F.array(F.struct(*fields))))
+
+
 def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Parse and check every record of a JSON text column; no record fails the job.
 
@@ -54,31 +88,25 @@ def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
     a valid event. Unknown keys are ignored, absent metadata is `{}`, and numbers are not
     taken for text. Empty text passes here and is dropped on the way to silver.
     """
-    payload = F.col("payload")
-    time = P.event_time(payload, "$.timestamp")
-    parsed = raw.select(
-        F.col(column).alias("raw"), F.try_parse_json(F.col(column)).alias("payload")
-    ).select(
-        "raw",
-        "payload",
-        time.instant.alias("instant"),
-        time.stored.alias("stored_timestamp"),
-    )
-    faults = F.array_compact(F.array(*_field_faults(payload, F.col("instant"))))
+    sent, kind = F.col("timestamp_value"), F.col("timestamp_kind")
+    fields = _read_fields(raw, column).withColumn("instant", P.instant(sent, kind))
+    payload_kind = F.col("payload_kind")
     errors = (
-        F.when(payload.isNull(), F.array(_fault("json_invalid", "", F.lit(True))))
-        .when(~P.is_object(P.kind(payload)), F.array(_fault("model_type", "", F.lit(True))))
-        .otherwise(faults)
+        F.when(_valid(), F.array().cast(FAULTS))
+        .when(payload_kind.isNull(), F.array(_fault("json_invalid", "", F.lit(True))))
+        .when(~P.is_object(payload_kind), F.array(_fault("model_type", "", F.lit(True))))
+        .otherwise(F.array_compact(F.array(*_faults())))
     )
-    fields = [
-        F.col("stored_timestamp").alias(f)
-        if f == "timestamp"
-        else P.text(payload, f"$.{f}").alias(f)
-        for f in REQUIRED_FIELDS
-    ]
-    metadata = F.coalesce(P.text(payload, "$.metadata"), F.lit("{}")).alias("metadata")
-    return parsed.select(
-        "raw", errors.alias("errors"), *fields, metadata, *partition_columns(F.col("instant"))
+    stored = P.stored_text(sent, F.col("instant"))
+    return fields.select(
+        "raw",
+        errors.alias("errors"),
+        *[
+            (stored if f == "timestamp" else F.col(f"{f}_value")).alias(f)
+            for f in REQUIRED_FIELDS
+        ],
+        F.coalesce("metadata_value", F.lit("{}")).alias("metadata"),
+        *partition_columns(F.col("instant")),
     )
 
 
