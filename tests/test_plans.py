@@ -1,0 +1,82 @@
+import re
+from datetime import datetime
+
+import pytest
+
+from tests.conftest import bronze_frame, bronze_row, plan
+from tidemark.operators import metrics, serving
+from tidemark.operators.refine import refine
+from tidemark.plans import hourly
+from tidemark.sources import lake as tables
+from tidemark.sources.lake import Lake
+
+AS_OF = datetime(2024, 1, 30, 18)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    lake = Lake(str(tmp_path_factory.mktemp("plans")))
+    rows = [bronze_row(f"e{h}", at=f"2024-01-30T{h:02d}:00:00") for h in range(24)]
+    tables.append_bronze(bronze_frame(spark, *rows), lake)
+    hourly.run_silver(spark, lake, AS_OF, lookback_hours=None)
+    return lake
+
+
+def scans(text):
+    return re.findall(r"FileScan parquet \[(.*?)\].*?PartitionFilters: \[(.*?)\], Pushed", text)
+
+
+def columns(scan):
+    return {c.split("#")[0] for c in scan.split(",")}
+
+
+def test_lookback_prunes_partitions(spark, stored):
+    (read,) = scans(plan(refine(tables.read_bronze(spark, stored), AS_OF)))
+    assert "try_make_timestamp" in read[1] or "make_timestamp" in read[1]
+
+
+@pytest.mark.parametrize(
+    "compute, needed",
+    [
+        (metrics.dau, {"timestamp", "user_id"}),
+        (metrics.events, {"event_type"}),
+        (metrics.conversion, {"event_type", "timestamp", "session_id"}),
+        (metrics.top_pages, {"event_type", "page"}),
+        (metrics.searches, {"event_type", "metadata"}),
+        (serving.hourly_events, {"timestamp"}),
+    ],
+)
+def test_daily_metrics_read_one_day_and_few_columns(spark, stored, compute, needed):
+    reads = scans(plan(compute(tables.read_silver(spark, stored), AS_OF)))
+    assert reads
+    for read, filters in reads:
+        assert columns(read) == needed | {"year", "month", "day", "hour"}
+        assert "= 2024" in filters and "= 30" in filters
+
+
+def test_trend_prunes_partitions(spark, stored):
+    (read,) = scans(plan(serving.dau_trend(tables.read_silver(spark, stored), AS_OF)))
+    assert "make_timestamp" in read[1]
+    assert columns(read[0]) == {"timestamp", "user_id", "year", "month", "day", "hour"}
+
+
+def test_copies_are_dropped_before_the_shuffle(spark, stored):
+    lines = plan(refine(tables.read_bronze(spark, stored), AS_OF)).splitlines()
+    steps = [line for line in lines if "WindowGroupLimit" in line or "Exchange" in line]
+    assert ["Final" in steps[0], "Exchange" in steps[1], "Partial" in steps[2]] == [True] * 3
+
+
+def test_conversion_shuffles_sessions_once_and_joins_nothing(spark, stored):
+    text = plan(metrics.conversion(tables.read_silver(spark, stored), AS_OF))
+    assert "Join" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert len(scans(text)) == 1
+
+
+@pytest.mark.parametrize("metric", sorted(metrics.METRICS))
+def test_metrics_stay_in_the_jvm_and_off_single_tasks(spark, stored, metric):
+    text = plan(metrics.METRICS[metric](tables.read_silver(spark, stored), AS_OF))
+    assert "Python" not in text
+    for line in text.splitlines():
+        if " Window [row_number()" in line:
+            assert "bucket#" in line

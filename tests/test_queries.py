@@ -1,0 +1,47 @@
+"""Every registered query against its SQL, over the whole smallest test tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not there")
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for name in os.listdir(SF_DIR):
+        table = name.removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{name}'")
+    return connection
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query(spark, sql, name):
+    result = entry.queries()[name](spark, SF_DIR)
+    columns = sorted(result.columns)
+    expected = sql.execute(entry.oracle_sql()[name])
+    named = [d[0] for d in expected.description]
+    assert sorted(named) == columns
+    picked = [named.index(c) for c in columns]
+    want = ordered(tuple(row[i] for i in picked) for row in expected.fetchall())
+    got = ordered(tuple(row[c] for c in columns) for row in result.collect())
+    assert got == want
+    assert got
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["date", "dau"]

@@ -1,0 +1,82 @@
+from datetime import date, datetime
+
+from tests.conftest import silver_frame, silver_row, tuples
+from tidemark.operators import serving
+from tidemark.schema import GOLD
+
+AS_OF = datetime(2024, 1, 30, 18)
+
+
+def gold(spark, metric, *rows):
+    return spark.createDataFrame(list(rows), GOLD[metric])
+
+
+def test_dau_is_the_latest_dated_row(spark):
+    rows = [(None, 3), (date(2024, 1, 29), 5), (date(2024, 1, 30), 7)]
+    assert tuples(serving.dau(gold(spark, "dau", *rows))) == [(date(2024, 1, 30), 7)]
+    assert tuples(serving.dau(gold(spark, "dau", (None, 3)))) == [(None, 3)]
+
+
+def test_defaults_for_empty_tables(spark):
+    assert tuples(serving.dau(gold(spark, "dau"))) == [(None, 0)]
+    assert tuples(serving.conversion(gold(spark, "conversion"))) == [(0, 0, None)]
+    assert tuples(serving.events(gold(spark, "events"))) == []
+    assert tuples(serving.top_pages(gold(spark, "top_pages"))) == []
+
+
+def test_conversion_keeps_a_null_rate(spark):
+    assert tuples(serving.conversion(gold(spark, "conversion", (0, 0, None)))) == [(0, 0, None)]
+    assert tuples(serving.conversion(gold(spark, "conversion", (1, 8, 12.5)))) == [(1, 8, 12.5)]
+
+
+def test_limits(spark):
+    rows = [(f"/p{i}", 100 - i, i) for i in range(1, 16)]
+    pages = gold(spark, "top_pages", *rows)
+    assert [r.rn for r in serving.top_pages(pages).collect()] == list(range(1, 11))
+    for limit, expected in ((0, 0), (1, 1), (99, 15), (-1, 0)):
+        assert serving.top_pages(pages, limit).count() == expected
+    searches = gold(spark, "searches", *rows)
+    assert [r.rn for r in serving.searches(searches, 3).collect()] == [1, 2, 3]
+
+
+def test_events_by_count(spark):
+    rows = [("a", 1), ("b", 5), ("c", 5)]
+    got = serving.events(gold(spark, "events", *rows)).collect()
+    assert [r.event_type for r in got] == ["b", "c", "a"]
+
+
+def test_dau_trend_goes_back_whole_days_from_the_hour(spark):
+    rows = [
+        silver_row("a", user_id="u1", time="2024-01-23T17:59:59"),
+        silver_row("b", user_id="u1", time="2024-01-23T18:00:00"),
+        silver_row("c", user_id="u1", time="2024-01-24T00:00:00"),
+        silver_row("d", user_id="u2", time="2024-01-24T01:00:00"),
+        silver_row("e", user_id="u2", time="2024-01-24T02:00:00"),
+        silver_row("f", user_id="u3", time=None),
+        silver_row("g", user_id="u3", time="2024-01-31T02:00:00"),
+    ]
+    silver = silver_frame(spark, *rows)
+    got = [tuple(r) for r in serving.dau_trend(silver, AS_OF).collect()]
+    assert got == [(date(2024, 1, 23), 1), (date(2024, 1, 24), 2), (date(2024, 1, 31), 1)]
+    assert tuples(serving.dau_trend(silver, AS_OF, days=1)) == [(date(2024, 1, 31), 1)]
+
+
+def test_dau_trend_finds_rows_filed_under_the_clients_own_hour(spark):
+    # 23:30 on the 23rd in UTC, filed under the wall clock of an offset of -10 hours.
+    row = silver_row("a", time="2024-01-23T23:30:00")
+    row |= {"hour": 13}
+    assert tuples(serving.dau_trend(silver_frame(spark, row), AS_OF)) == [(date(2024, 1, 23), 1)]
+
+
+def test_hourly_events(spark):
+    rows = [
+        silver_row("a", time="2024-01-30T00:10:00"),
+        silver_row("b", time="2024-01-30T23:10:00"),
+        silver_row("c", time="2024-01-30T23:50:00"),
+        silver_row("d", time=None),
+        silver_row("e", time="2024-01-29T23:50:00"),
+    ]
+    got = serving.hourly_events(silver_frame(spark, *rows), AS_OF).collect()
+    assert [tuple(r) for r in got] == [(0, 1), (23, 2)]
+
+
