@@ -1,5 +1,6 @@
 import os
 import sys
+from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
@@ -20,6 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "100000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
@@ -82,3 +85,16 @@ def tuples(df, *columns):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def options(spark, **values):
+    """Session options for the length of a block; `__` stands for a dot."""
+    names = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)

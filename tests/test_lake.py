@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import bronze_frame, bronze_row, tuples
+from tests.conftest import bronze_frame, bronze_row, options, tuples
 from tidemark.operators.refine import refine
 from tidemark.plans import hourly
 from tidemark.schema import GOLD, PARTITION_COLUMNS
@@ -54,14 +54,13 @@ def test_an_hour_is_written_to_few_files_and_a_huge_one_is_split(spark, lake):
     )
     tables.append_bronze(rows, lake)
     assert len(files(lake.bronze)) == 17
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "10k")
-    try:
-        split = Lake(lake.root + "-split")
+    split = Lake(lake.root + "-split")
+    with options(
+        spark,
+        adaptive__advisoryPartitionSizeInBytes="4k",
+        adaptive__coalescePartitions__minPartitionSize="1k",
+    ):
         tables.append_bronze(rows, split)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     busy = [f for f in files(split.bronze) if "hour=16" in f]
     assert len(busy) > 1
     assert tables.read_bronze(spark, split).count() == 4000

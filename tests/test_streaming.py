@@ -1,7 +1,7 @@
 import json
 import os
 
-from tests.conftest import tuples
+from tests.conftest import options, tuples
 from tidemark.operators import validate
 from tidemark.sources import lake as tables
 from tidemark.sources import stream
@@ -48,8 +48,11 @@ def test_good_lines_land_and_bad_lines_are_kept_apart(spark, lake, tmp_path):
     bronze = tables.read_bronze(spark, lake)
     assert ids(bronze) == ["a", "c", "d"]
     assert os.path.isdir(f"{lake.bronze}/year=2024/month=1/day=28/hour=22")
-    rejects = tables.read_quarantine(spark, lake).selectExpr("raw", "errors[0].type")
-    assert tuples(rejects) == sorted([("not json", "json_invalid"), (line("b", page=5), "string_type")], key=repr)
+    rejects = tables.read_quarantine(spark, lake).selectExpr("raw", "errors[0].type AS type")
+    assert {(r.raw, r.type) for r in rejects.collect()} == {
+        ("not json", "json_invalid"),
+        (line("b", page=5), "string_type"),
+    }
     assert sorted((r["accepted"], r["rejected"]) for r in reports) == [(1, 0), (2, 2)]
 
 
@@ -120,7 +123,8 @@ def test_published_files_keep_a_long_session_in_order(spark, tmp_path):
     events = validate.accepted(
         validate.parse(spark.createDataFrame([(text,) for text in lines], "raw string"))
     )
-    stream.publish_files(events.repartition(8), str(tmp_path / "out"))
+    with options(spark, adaptive__coalescePartitions__enabled="false"):
+        stream.publish_files(events.repartition(8), str(tmp_path / "out"))
     sizes, order = [], []
     for name in sorted(os.listdir(tmp_path / "out")):
         if name.endswith(".txt"):
