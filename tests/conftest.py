@@ -21,6 +21,9 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Small write tasks: the tables of the tests are tiny and have many hours.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -210,3 +210,20 @@ def test_views_over_gold(spark, lake):
     hourly.run(spark, lake, AS_OF)
     tables.gold_views(spark, lake)
     assert tuples(spark.sql("SELECT page, views FROM gold_top_pages")) == [("/home", 1)]
+
+
+def test_lookback_partitions(spark, lake):
+    window = tables.lookback_partitions(spark, datetime(2024, 3, 1, 1, 40), 3)
+    assert hours(window) == [(2024, 2, 29, 22), (2024, 2, 29, 23), (2024, 3, 1, 0), (2024, 3, 1, 1)]
+    rows = [bronze_row("a", **at(16)), bronze_row("b", **at(16)), bronze_row("c", **at(9))]
+    tables.append_bronze(bronze_frame(spark, *rows), lake)
+    bronze = tables.read_bronze(spark, lake)
+    counts = tables.rows_per_hour(bronze, tables.lookback_partitions(spark, AS_OF))
+    assert [r[3:] for r in tuples(counts)] == [(15, 0), (16, 2), (17, 0), (18, 0)]
+
+
+def test_hours_outside_the_declared_ranges(spark, lake):
+    rows = [bronze_row("a", **at(16)), bronze_row("b", at="2031-01-30T16:05:00")]
+    tables.append_bronze(bronze_frame(spark, *rows), lake)
+    assert tables.read_bronze(spark, lake).count() == 2
+    assert hours(tables.read_bronze(spark, lake, declared_only=True)) == [(2024, 1, 30, 16)]

@@ -138,3 +138,10 @@ def test_published_files_keep_a_long_session_in_order(spark, tmp_path):
 def test_messages_of_a_connector(spark):
     raw = stream.read_messages(spark, "rate", {"rowsPerSecond": "1"})
     assert raw.isStreaming and raw.columns == ["raw"] and raw.dtypes == [("raw", "string")]
+
+
+def test_publishing_through_a_connector(spark):
+    events = validate.accepted(
+        validate.parse(spark.createDataFrame([(line("a"),)], "raw string"))
+    )
+    stream.publish(events, "noop", {})

@@ -50,13 +50,6 @@ def in_lookback(as_of: datetime | None, hours: int) -> Column:
     return bucket() >= literal(lookback_cutoff(as_of, hours))
 
 
-def lookback_hours(as_of: datetime | None, hours: int) -> Column:
-    """The hour buckets from the cutoff up to the current hour, as an array."""
-    end = as_utc(as_of).replace(minute=0, second=0, microsecond=0)
-    start = end - timedelta(hours=hours)
-    return F.sequence(literal(start), literal(end), F.expr("interval 1 hour"))
-
-
 def on_day(as_of: datetime | None) -> Column:
     """Partitions of the day that holds `as_of`."""
     day = as_utc(as_of)

@@ -40,12 +40,17 @@ def _page_views(silver: DataFrame, as_of: datetime | None) -> DataFrame:
 
 
 def _searches(silver: DataFrame, as_of: datetime | None) -> DataFrame:
+    """Rows per search term that is neither missing nor empty.
+
+    The two groups without a term count 0 and are dropped after the aggregation. A filter
+    on the term itself would be pushed below it and take every payload apart once more.
+    """
     return (
         silver.where(on_day(as_of) & (F.col("event_type") == "search"))
         .select(F.get_json_object("metadata", "$.query").alias("query"))
-        .where(F.col("query").isNotNull() & (F.col("query") != ""))
         .groupBy("query")
-        .agg(F.count("*").alias("count"))
+        .agg(F.count_if(F.col("query") != "").alias("count"))
+        .where(F.col("count") > 0)
     )
 
 

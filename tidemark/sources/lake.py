@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import bucket, literal, lookback_cutoff
+from tidemark.functions.times import (
+    bucket,
+    in_declared_ranges,
+    in_lookback,
+    literal,
+    lookback_cutoff,
+    partition_columns,
+)
 from tidemark.schema import BRONZE, GOLD, PARTITION_COLUMNS, QUARANTINE, SILVER
 from tidemark.sources import paths
 
@@ -46,12 +53,47 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
-def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    return _read(spark, lake.bronze, BRONZE)
+def _by_hour_table(
+    spark: SparkSession, path: str, schema: T.StructType, declared_only: bool
+) -> DataFrame:
+    rows = _read(spark, path, schema)
+    return rows.where(in_declared_ranges()) if declared_only else rows
 
 
-def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    return _read(spark, lake.silver, SILVER)
+def read_bronze(spark: SparkSession, lake: Lake, declared_only: bool = False) -> DataFrame:
+    """All hours, or only those within the partition ranges the catalog declares."""
+    return _by_hour_table(spark, lake.bronze, BRONZE, declared_only)
+
+
+def read_silver(spark: SparkSession, lake: Lake, declared_only: bool = False) -> DataFrame:
+    return _by_hour_table(spark, lake.silver, SILVER, declared_only)
+
+
+def lookback_partitions(
+    spark: SparkSession, as_of: datetime | None = None, hours: int = 3
+) -> DataFrame:
+    """The hours from the cutoff of the lookback window up to the current one."""
+    last = lookback_cutoff(as_of, 0)
+    first = lookback_cutoff(as_of, hours)
+    every_hour = F.sequence(literal(first), literal(last), F.expr("interval 1 hour"))
+    return spark.range(1).select(F.explode(every_hour).alias("hour")).select(
+        *partition_columns(F.col("hour"))
+    )
+
+
+def rows_per_hour(table: DataFrame, hours: DataFrame) -> DataFrame:
+    """Stored rows of each of the given hours, 0 where the table has no such hour.
+
+    Only the given hours are read: there are few of them, so they prune the partitions.
+    """
+    counts = (
+        table.join(F.broadcast(hours), PARTITION_COLUMNS, "left_semi")
+        .groupBy(*PARTITION_COLUMNS)
+        .agg(F.count("*").alias("rows"))
+    )
+    return hours.join(counts, PARTITION_COLUMNS, "left").select(
+        *PARTITION_COLUMNS, F.coalesce("rows", F.lit(0)).alias("rows")
+    )
 
 
 def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -122,9 +164,7 @@ def overwrite_silver(
     have none any more are removed after that, so a failed job leaves silver as it was.
     """
     spark = rows.sparkSession
-    window = F.lit(True)
-    if lookback_hours is not None:
-        window = bucket() >= literal(lookback_cutoff(as_of, lookback_hours))
+    window = F.lit(True) if lookback_hours is None else in_lookback(as_of, lookback_hours)
     # One value per hour of the window, read from the partition names alone.
     stored = read_silver(spark, lake).where(window).select(bucket().alias("hour")).distinct()
     before = {row.hour for row in stored.collect()}

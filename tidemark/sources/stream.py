@@ -42,6 +42,11 @@ def to_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def publish(events: DataFrame, sink: str, options: dict[str, str]) -> None:
+    """Send a batch of events to a connector on the classpath, one message per event."""
+    to_messages(events).write.format(sink).options(**options).mode("append").save()
+
+
 def publish_files(events: DataFrame, path: str) -> None:
     """Write messages as JSON lines, the files and the lines in order of session and time.
 
