@@ -77,6 +77,17 @@ def test_a_repeated_batch_repeats_bronze_but_not_quarantine(spark, lake):
     assert tables.read_quarantine(spark, lake).count() == 1
 
 
+def test_a_new_checkpoint_does_not_replace_older_rejects(spark, lake, tmp_path):
+    for name in ("one", "two"):
+        landing = str(tmp_path / name)
+        drop_file(landing, "1.json", f"bad {name}")
+        raw = stream.read_landing(spark, landing)
+        ingest(raw, lake, str(tmp_path / f"checkpoint-{name}"), once=True).awaitTermination()
+    quarantine = tables.read_quarantine(spark, lake)
+    assert {r.raw for r in quarantine.collect()} == {"bad one", "bad two"}
+    assert quarantine.select("query").distinct().count() == 2
+
+
 def test_stream_and_batch_agree(spark, lake, tmp_path):
     landing = str(tmp_path / "landing")
     lines = [line(f"e{i}", page="/home" if i % 7 else None) for i in range(50)]

@@ -95,6 +95,10 @@ def test_records_that_are_no_event_at_all(spark):
     }
 
 
+def test_keys_are_case_sensitive(spark):
+    assert reasons(spark, event(page=MISSING, Page="/home")) == [("page", "missing")]
+
+
 def test_the_last_value_of_a_repeated_key_counts(spark):
     text = json.dumps(EVENT)[:-1] + ', "page": "/cart"}'
     assert validate.accepted(parse(spark, text)).head().page == "/cart"

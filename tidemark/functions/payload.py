@@ -1,4 +1,4 @@
-"""Expressions over the fields of a parsed JSON payload (a VARIANT column)."""
+"""Expressions over the fields of a parsed JSON payload (VARIANT values and their text)."""
 
 from __future__ import annotations
 
@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Forms a time text may take. Beyond 2e10 a number counts milliseconds.
-CLOCK_TEXT = (
-    r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?$"
+ISO_TEXT = (
+    r"^\d{4}-\d{2}-\d{2}"
+    r"([Tt _]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?)?$"
 )
-DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 NUMBER_TEXT = r"^[+-]?\d+(\.\d+)?$"
 MILLISECONDS_FROM = 20_000_000_000
 FIRST_SECOND = -62135596800  # 0001-01-01T00:00:00Z
@@ -21,13 +21,9 @@ STORED_TEXT = (
 )
 
 
-def kind(payload: Column, path: str = "$") -> Column:
-    """JSON type at `path`: STRING, BIGINT, OBJECT<...>, ..., VOID for null; NULL if missing."""
-    return F.schema_of_variant(F.try_variant_get(payload, path, "variant"))
-
-
-def text(payload: Column, path: str) -> Column:
-    return F.try_variant_get(payload, path, "string")
+def kind(field: Column) -> Column:
+    """JSON type: STRING, BIGINT, OBJECT<...>, ..., VOID for null; NULL if the field is missing."""
+    return F.schema_of_variant(field)
 
 
 def is_text(kind_: Column) -> Column:
@@ -58,9 +54,10 @@ def instant(value: Column, kind_: Column) -> Column:
     of seconds or milliseconds since 1970.
     """
     iso = F.translate(value, "t_z,", "TTZ.").try_cast("timestamp")
-    clock = value.rlike(CLOCK_TEXT) | value.rlike(DATE_TEXT)
-    return F.when(is_text(kind_) & clock, iso).when(
-        is_number(kind_) | (is_text(kind_) & value.rlike(NUMBER_TEXT)), _epoch(value)
+    return (
+        F.when(is_text(kind_) & value.rlike(STORED_TEXT), value.try_cast("timestamp"))
+        .when(is_text(kind_) & value.rlike(ISO_TEXT), iso)
+        .when(is_number(kind_) | (is_text(kind_) & value.rlike(NUMBER_TEXT)), _epoch(value))
     )
 
 

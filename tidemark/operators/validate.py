@@ -32,13 +32,21 @@ def _fault(type_: str, loc: str, when: Column) -> Column:
     return F.when(when, fault)
 
 
+def _kind(field: str) -> Column:
+    return P.kind(F.col(f"sent.{field}"))
+
+
+def _text(field: str) -> Column:
+    return F.col(f"text.{field}")
+
+
 def _faults() -> list[Column]:
     faults = []
     for field in REQUIRED_FIELDS:
-        kind, value = F.col(f"{field}_kind"), F.col(f"{field}_value")
+        kind = _kind(field)
         faults.append(_fault("missing", field, kind.isNull()))
         if field == "event_type":
-            known = P.is_text(kind) & value.isin(EVENT_TYPES)
+            known = P.is_text(kind) & _text(field).isin(EVENT_TYPES)
             faults.append(_fault("enum", field, ~known))
         elif field == "timestamp":
             timelike = P.is_text(kind) | P.is_number(kind)
@@ -46,39 +54,45 @@ def _faults() -> list[Column]:
             faults.append(_fault("datetime_parsing", field, timelike & F.col("instant").isNull()))
         else:
             faults.append(_fault("string_type", field, ~P.is_text(kind)))
-    faults.append(_fault("dict_type", "metadata", ~P.is_object(F.col("metadata_kind"))))
+    faults.append(_fault("dict_type", "metadata", ~P.is_object(_kind("metadata"))))
     return faults
 
 
 def _valid() -> Column:
     """No fault; the many valid records need no list of faults to be built and emptied."""
-    condition = P.is_object(F.col("payload_kind")) & F.col("instant").isNotNull()
+    condition = F.col("sent").isNotNull() & F.col("instant").isNotNull()
     for field in REQUIRED_FIELDS:
         if field != "timestamp":
-            condition = condition & P.is_text(F.col(f"{field}_kind"))
-    metadata_kind = F.col("metadata_kind")
+            condition = condition & P.is_text(_kind(field))
+    metadata = _kind("metadata")
     return (
         condition
-        & F.col("event_type_value").isin(EVENT_TYPES)
-        & (metadata_kind.isNull() | P.is_object(metadata_kind))
+        & _text("event_type").isin(EVENT_TYPES)
+        & (metadata.isNull() | P.is_object(metadata))
     )
 
 
 def _read_fields(raw: DataFrame, column: str) -> DataFrame:
-    """Kind and text of every field of every record.
+    """Every field of every record, as it was sent and as text; NULL unless an object.
 
     `inline` over a single struct gives one row per row. It is there because a filter on
     its result stays above it: otherwise the optimizer would copy the JSON parsing into
     each condition that looks at a field.
     """
     payload = F.col("payload")
-    fields = [P.kind(payload).alias("payload_kind")]
-    for field in [*REQUIRED_FIELDS, "metadata"]:
-        fields.append(P.kind(payload, f"$.{field}").alias(f"{field}_kind"))
-        fields.append(P.text(payload, f"$.{field}").alias(f"{field}_value"))
+    fields = [*REQUIRED_FIELDS, "metadata"]
+
+    def as_struct(type_: str) -> Column:
+        return payload.try_cast(f"struct<{', '.join(f'{f}: {type_}' for f in fields)}>")
+
+    parsed = F.struct(
+        payload.isNotNull().alias("is_json"),
+        as_struct("variant").alias("sent"),
+        as_struct("string").alias("text"),
+    )
     return raw.select(
         F.col(column).alias("raw"), F.try_parse_json(F.col(column)).alias("payload")
-    ).select("raw", F.inline(F.array(F.struct(*fields))))
+    ).select("raw", F.inline(F.array(parsed)))
 
 
 def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
@@ -88,24 +102,22 @@ def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
     a valid event. Unknown keys are ignored, absent metadata is `{}`, and numbers are not
     taken for text. Empty text passes here and is dropped on the way to silver.
     """
-    sent, kind = F.col("timestamp_value"), F.col("timestamp_kind")
-    fields = _read_fields(raw, column).withColumn("instant", P.instant(sent, kind))
-    payload_kind = F.col("payload_kind")
+    sent_time = _text("timestamp")
+    fields = _read_fields(raw, column).withColumn(
+        "instant", P.instant(sent_time, _kind("timestamp"))
+    )
     errors = (
         F.when(_valid(), F.array().cast(FAULTS))
-        .when(payload_kind.isNull(), F.array(_fault("json_invalid", "", F.lit(True))))
-        .when(~P.is_object(payload_kind), F.array(_fault("model_type", "", F.lit(True))))
+        .when(~F.col("is_json"), F.array(_fault("json_invalid", "", F.lit(True))))
+        .when(F.col("sent").isNull(), F.array(_fault("model_type", "", F.lit(True))))
         .otherwise(F.array_compact(F.array(*_faults())))
     )
-    stored = P.stored_text(sent, F.col("instant"))
+    stored_time = P.stored_text(sent_time, F.col("instant"))
     return fields.select(
         "raw",
         errors.alias("errors"),
-        *[
-            (stored if f == "timestamp" else F.col(f"{f}_value")).alias(f)
-            for f in REQUIRED_FIELDS
-        ],
-        F.coalesce("metadata_value", F.lit("{}")).alias("metadata"),
+        *[(stored_time if f == "timestamp" else _text(f)).alias(f) for f in REQUIRED_FIELDS],
+        F.coalesce(_text("metadata"), F.lit("{}")).alias("metadata"),
         *partition_columns(F.col("instant")),
     )
 

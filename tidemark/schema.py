@@ -43,7 +43,8 @@ QUARANTINE = T.StructType(
                 )
             ),
         ),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("query", T.StringType()),
+        T.StructField("batch", T.LongType()),
     ]
 )
 

@@ -141,15 +141,15 @@ def append_bronze(events: DataFrame, lake: Lake) -> int:
     return written.get["rows"]
 
 
-def append_quarantine(rejects: DataFrame, lake: Lake, batch_id: int) -> int:
-    """Store the rejects of one batch; writing the same batch again replaces it."""
+def append_quarantine(rejects: DataFrame, lake: Lake, query: str, batch_id: int) -> int:
+    """Store the rejects of one batch of a stream; writing the same batch again replaces it."""
     written = Observation()
     (
-        rejects.select("raw", "errors", F.lit(batch_id).cast("bigint").alias("batch_id"))
+        rejects.select("raw", "errors", F.lit(query).alias("query"), F.lit(batch_id).alias("batch"))
         .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("query", "batch")
         .parquet(lake.quarantine)
     )
     return written.get["rows"]
@@ -202,11 +202,12 @@ def overwrite_gold(rows: DataFrame, lake: Lake, metric: str) -> int:
 def seed(spark: SparkSession, lake: Lake) -> None:
     """Create the folders that do not exist yet with a zero-row file, so any reader finds a table."""
     tables = {lake.bronze: BRONZE, lake.silver: SILVER, lake.quarantine: QUARANTINE}
-    tables |= {lake.gold(metric): schema for metric, schema in GOLD.items()}
-    for path, schema in tables.items():
+    whole = {lake.gold(metric): schema for metric, schema in GOLD.items()}
+    for path, schema in (tables | whole).items():
         if not paths.exists(spark, path):
-            stored = [c for c in schema.fieldNames() if c not in (*PARTITION_COLUMNS, "batch_id")]
-            spark.createDataFrame([], schema).select(stored).write.parquet(path)
+            folders = (*PARTITION_COLUMNS, "query", "batch")
+            stored = [f for f in schema.fields if f.name not in folders or path in whole]
+            spark.createDataFrame([], T.StructType(stored)).write.parquet(path)
 
 
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:

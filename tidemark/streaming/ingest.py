@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.validate import accepted, parse, rejected
@@ -20,13 +21,21 @@ def _trigger(once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": FLUSH_INTERVAL}
 
 
+def _query_id(batch: DataFrame) -> str:
+    """Id of the running stream, kept in its checkpoint; a new checkpoint has a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def land_batch(lake: Lake, report: Callable[[dict], None] | None = None):
     """A batch function that parses a batch once and stores both outcomes."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch).persist(StorageLevel.DISK_ONLY)
+        is_reject = F.size("errors") > 0
+        # Only rejects keep their text, so it is not stored twice for valid events.
+        parsed = parse(batch).withColumn("raw", F.when(is_reject, F.col("raw")))
+        parsed = parsed.persist(StorageLevel.DISK_ONLY)
         try:
-            rejects = append_quarantine(rejected(parsed), lake, batch_id)
+            rejects = append_quarantine(rejected(parsed), lake, _query_id(batch), batch_id)
             events = append_bronze(accepted(parsed), lake)
         finally:
             parsed.unpersist()
