@@ -37,6 +37,11 @@ def test_times_are_typed_or_null(spark):
         "f": ("T10:00", None),
         "g": ("2024-13-30T16:05:00Z", None),
         "h": ("not-a-time", None),
+        "i": ("2024-1-5 1:02:03", datetime(2024, 1, 5, 1, 2, 3)),
+        "j": ("2024-01-30T16", None),
+        "k": ("2024-01-30 16:05:00 America/New_York", datetime(2024, 1, 30, 21, 5)),
+        "l": ("2024-01-30T16:05:00 +05:00", None),
+        "m": ("2024-01-30T16:05:00+5", None),
     }
     rows = [bronze_row(k, timestamp=text) for k, (text, _) in texts.items()]
     silver = refine(bronze_frame(spark, *rows), AS_OF).selectExpr(
@@ -44,7 +49,7 @@ def test_times_are_typed_or_null(spark):
     )
     assert {r.event_id: r.t for r in silver.collect()} == {k: t for k, (_, t) in texts.items()}
     typed = refine(bronze_frame(spark, *rows), AS_OF, drop_untyped=True)
-    assert set(kept(typed)) == {"a", "b", "c", "d"}
+    assert set(kept(typed)) == {"a", "b", "c", "d", "i", "k"}
 
 
 def test_the_earliest_copy_stays(spark):

@@ -21,13 +21,20 @@ def literal(moment: datetime) -> Column:
     return F.lit(f"{as_utc(moment):%Y-%m-%d %H:%M:%S.%f}Z").cast("timestamp")
 
 
+# Fixed value: a date, alone or with at least hours and minutes, then an offset or a zone name.
+TIMESTAMP_TEXT = (
+    r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+    r"([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?([Zz]|[+-]\d{2}(:?\d{2})?| [A-Za-z].*)?\s*)?$"
+)
+
+
 def typed_timestamp(text: Column) -> Column:
     """Timestamp text to TIMESTAMP, NULL where it is none.
 
-    The cast alone would also take a bare year or a bare time of day, so the text
-    has to start with a full date.
+    The cast alone would also take a bare year, a bare time of day or an hour without
+    minutes, so the text has to have the form above.
     """
-    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    return F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp"))
 
 
 def bucket() -> Column:

@@ -215,7 +215,7 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
 
     The tables are external, so dropping an old entry leaves the data alone.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
     tables = {"bronze": (lake.bronze, BRONZE), "silver": (lake.silver, SILVER)}
     tables |= {f"gold_{m}": (lake.gold(m), schema) for m, schema in GOLD.items()}
     for name, (path, schema) in tables.items():
