@@ -52,9 +52,16 @@ def lookback_cutoff(as_of: datetime | None, hours: int) -> datetime:
     return as_utc(as_of).replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
 
 
+def _from_hour(start: datetime) -> Column:
+    """Partitions from an hour on. The month part is for catalogs that prune by comparisons."""
+    year, month = F.col("year"), F.col("month")
+    from_month = (year > start.year) | ((year == start.year) & (month >= start.month))
+    return from_month & (bucket() >= literal(start))
+
+
 def in_lookback(as_of: datetime | None, hours: int) -> Column:
     """Hour buckets from the cutoff on. There is no upper bound: early clocks still count."""
-    return bucket() >= literal(lookback_cutoff(as_of, hours))
+    return _from_hour(lookback_cutoff(as_of, hours))
 
 
 def on_day(as_of: datetime | None) -> Column:
@@ -72,9 +79,7 @@ def since(as_of: datetime | None, days: int) -> Column:
     have been named after the wall clock of the client's own UTC offset.
     """
     start = as_utc(as_of) - timedelta(days=days)
-    return (F.col("timestamp") >= literal(start)) & (
-        bucket() >= literal(lookback_cutoff(start, 24))
-    )
+    return (F.col("timestamp") >= literal(start)) & _from_hour(lookback_cutoff(start, 24))
 
 
 def in_declared_ranges() -> Column:
