@@ -26,7 +26,8 @@ def test_one_decimal_is_exact(spark):
 
 
 def test_percent(spark):
-    df = spark.createDataFrame([(0, 0), (0, 3), (1, 3), (2, 3), (281, 1580), (13, 54)], "a int, b int")
+    pairs = [(0, 0), (0, 3), (1, 3), (2, 3), (281, 1580), (13, 54)]
+    df = spark.createDataFrame(pairs, "a int, b int")
     got = [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()]
     assert got == [None, 0.0, 33.33, 66.67, 17.78, 24.07]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sample rows per bucket. More even out the bucket sizes.
@@ -17,6 +17,18 @@ def top(counts: DataFrame, key: str, value: str, limit: int) -> DataFrame:
     return largest.select(key, value, F.row_number().over(order).cast("bigint").alias("rn"))
 
 
+def _cuts_before(most: int) -> Column:
+    """How many of the sorted `cuts`, at most `most`, lie before `place`, by halving steps."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get("cuts", found + step - 1) < F.col("place"), found + step)
+
+    return F.aggregate(
+        steps, F.lit(0), lambda found, step: F.coalesce(further(found, step), found)
+    )
+
+
 def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None) -> DataFrame:
     """Every row with its row number by `value` descending, then `key`; `key` is unique.
 
@@ -24,7 +36,8 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     buckets of like size, rows are numbered inside their bucket, and the sizes of the
     buckets before it are added. The cuts come from the rows with the smallest key hashes:
     a fixed number of rows, spread evenly over the order, and the same on every
-    recomputation.
+    recomputation. Ranges of buckets make up the partitions, so the rows come out, and are
+    written to files, in the order of their number.
     """
     spark = counts.sparkSession
     if buckets is None:
@@ -35,9 +48,7 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     cuts = sample.agg(F.sort_array(F.collect_list("place")).alias("places")).select(
         F.filter("places", lambda _, i: i % SAMPLE_PER_BUCKET == SAMPLE_PER_BUCKET - 1)
     )
-    bucketed = ranked.withColumn("cuts", cuts.scalar()).withColumn(
-        "bucket", F.size(F.filter("cuts", lambda cut: cut < F.col("place")))
-    )
+    bucketed = ranked.withColumn("cuts", cuts.scalar()).withColumn("bucket", _cuts_before(buckets))
 
     sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("rows"))
     before = F.sum("rows").over(
@@ -45,9 +56,10 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     )
     # At most one row per bucket.
     offsets = sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("before"))
+    in_order = bucketed.select("bucket", "place", key, value).repartitionByRange("bucket")
     inside = F.row_number().over(Window.partitionBy("bucket").orderBy("place"))
     return (
-        bucketed.join(F.broadcast(offsets), "bucket", "left")
-        .select(key, value, (F.col("before") + inside).alias("rn"))
-        .orderBy("rn")
+        in_order.withColumn("inside", inside)
+        .join(F.broadcast(offsets), "bucket", "left")
+        .select(key, value, (F.col("before") + F.col("inside")).alias("rn"))
     )

@@ -200,7 +200,7 @@ def overwrite_gold(rows: DataFrame, lake: Lake, metric: str) -> int:
 
 
 def seed(spark: SparkSession, lake: Lake) -> None:
-    """Create the folders that do not exist yet with a zero-row file, so any reader finds a table."""
+    """Create the folders that do not exist yet, each with a zero-row file for any reader."""
     tables = {lake.bronze: BRONZE, lake.silver: SILVER, lake.quarantine: QUARANTINE}
     whole = {lake.gold(metric): schema for metric, schema in GOLD.items()}
     for path, schema in (tables | whole).items():
