@@ -36,8 +36,8 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     buckets of like size, rows are numbered inside their bucket, and the sizes of the
     buckets before it are added. The cuts come from the rows with the smallest key hashes:
     a fixed number of rows, spread evenly over the order, and the same on every
-    recomputation. Ranges of buckets make up the partitions, so the rows come out, and are
-    written to files, in the order of their number.
+    recomputation. Bucket n becomes partition n, so the rows come out, and are written to
+    files, in the order of their number.
     """
     spark = counts.sparkSession
     if buckets is None:
@@ -56,7 +56,7 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     )
     # At most one row per bucket.
     offsets = sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("before"))
-    in_order = bucketed.select("bucket", "place", key, value).repartitionByRange("bucket")
+    in_order = bucketed.select("bucket", "place", key, value).repartitionById(buckets + 1, "bucket")
     inside = F.row_number().over(Window.partitionBy("bucket").orderBy("place"))
     return (
         in_order.withColumn("inside", inside)
