@@ -72,27 +72,34 @@ def _valid() -> Column:
     )
 
 
-def _read_fields(raw: DataFrame, column: str) -> DataFrame:
-    """Every field of every record, as it was sent and as text; NULL unless an object.
+def _computed_once(rows: DataFrame, *columns: Column) -> DataFrame:
+    """Adds columns below any later filter.
 
-    `inline` over a single struct gives one row per row. It is there because a filter on
-    its result stays above it: otherwise the optimizer would copy the JSON parsing into
-    each condition that looks at a field.
+    `inline` over a single struct gives one row per row, and a filter on its result stays
+    above it. The optimizer would otherwise copy the expression into every condition that
+    uses the column, which for JSON parsing costs far more than the filter saves.
     """
+    return rows.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+def _read_fields(raw: DataFrame, column: str) -> DataFrame:
+    """Every field of every record, as it was sent and as text; NULL unless an object."""
     payload = F.col("payload")
     fields = [*REQUIRED_FIELDS, "metadata"]
 
     def as_struct(type_: str) -> Column:
         return payload.try_cast(f"struct<{', '.join(f'{f}: {type_}' for f in fields)}>")
 
-    parsed = F.struct(
+    parsed = raw.select(F.col(column).alias("raw"), F.try_parse_json(column).alias("payload"))
+    read = _computed_once(
+        parsed,
         payload.isNotNull().alias("is_json"),
         as_struct("variant").alias("sent"),
         as_struct("string").alias("text"),
+    ).drop("payload")
+    return _computed_once(
+        read, P.instant(_text("timestamp"), _kind("timestamp")).alias("instant")
     )
-    return raw.select(
-        F.col(column).alias("raw"), F.try_parse_json(F.col(column)).alias("payload")
-    ).select("raw", F.inline(F.array(parsed)))
 
 
 def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
@@ -102,17 +109,14 @@ def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
     a valid event. Unknown keys are ignored, absent metadata is `{}`, and numbers are not
     taken for text. Empty text passes here and is dropped on the way to silver.
     """
-    sent_time = _text("timestamp")
-    fields = _read_fields(raw, column).withColumn(
-        "instant", P.instant(sent_time, _kind("timestamp"))
-    )
+    fields = _read_fields(raw, column)
     errors = (
         F.when(_valid(), F.array().cast(FAULTS))
         .when(~F.col("is_json"), F.array(_fault("json_invalid", "", F.lit(True))))
         .when(F.col("sent").isNull(), F.array(_fault("model_type", "", F.lit(True))))
         .otherwise(F.array_compact(F.array(*_faults())))
     )
-    stored_time = P.stored_text(sent_time, F.col("instant"))
+    stored_time = P.stored_text(_text("timestamp"), F.col("instant"))
     return fields.select(
         "raw",
         errors.alias("errors"),
