@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ SPACES = " \t\n\x0b\x0c\r"
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch whose last column is text where the text adds up to `limit` bytes."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.num_columns - 1)), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
     start, held = 0, 0
     for row, size in enumerate(sizes.to_pylist()):
         if row > start and held + size > limit:
