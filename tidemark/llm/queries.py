@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_stream, quality_classifier, token_counts
+from tidemark.llm import bpe_stream, line_dedup, quality_classifier, token_counts
 from tidemark.llm import quality_rules as rules
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,16 @@ def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "`line counts`.n_lines",
+        "`line counts`.n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY, TOKEN_LIMIT)
 
@@ -49,8 +59,31 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = [
     op2_quality_classifier,
     op5_compression_bands,
+    op6_line_dedup,
     op7_token_counts,
     op8_bpe_round_trip,
 ]
 
-ORACLE_SQL: dict[str, str] = {}
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": f"""
+        WITH line AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+          FROM documents
+        ), keyed AS (
+          SELECT *, translate(trim(line, {_BLANKS}), {_A_TO_Z}) AS key FROM line
+        ), holder AS (
+          SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10
+          GROUP BY key HAVING count(DISTINCT doc_id) > 1
+        ), judged AS (
+          SELECT doc_id, line, place, coalesce(doc_id <> first_doc, false) AS dropped
+          FROM keyed LEFT JOIN holder USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                               FILTER (NOT dropped), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
+}
