@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_stream, line_dedup, quality_classifier, token_counts
+from tidemark.llm import bpe_stream, line_dedup, ngram_join, quality_classifier, token_counts
 from tidemark.llm import quality_rules as rules
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     op2_quality_classifier,
+    op4_ngram_join,
     op5_compression_bands,
     op6_line_dedup,
     op7_token_counts,
