@@ -6,11 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_stream, line_dedup, ngram_join, quality_classifier, token_counts
+from tidemark.llm import (
+    bpe_stream,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_classifier,
+    sharding,
+    token_counts,
+)
 from tidemark.llm import quality_rules as rules
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
+BIN_BYTES = 16_384
+SHARD_BYTES = 1 << 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +44,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(_table(spark, sf_dir, "documents"), BIN_BYTES)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_classes(_table(spark, sf_dir, "documents"))
 
@@ -60,13 +74,19 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 QUERIES = [
     op2_quality_classifier,
+    op3_best_fit_packing,
     op4_ngram_join,
     op5_compression_bands,
     op6_line_dedup,
     op7_token_counts,
     op8_bpe_round_trip,
+    op10_extendible_shards,
 ]
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -91,4 +111,23 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
                                FILTER (NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op10_extendible_shards": f"""
+        WITH keyed AS (
+          SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+                 CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
+                   AS h
+          FROM documents
+        ), bucket AS (
+          SELECT depth, h >> (60 - depth) AS prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes
+          FROM keyed, (SELECT unnest(range(0, 41)) AS depth) GROUP BY ALL
+        ), leaf AS (
+          SELECT * FROM bucket b WHERE shard_bytes <= {SHARD_BYTES} AND (depth = 0 OR EXISTS (
+            SELECT 1 FROM bucket p WHERE p.depth = b.depth - 1 AND p.prefix = b.prefix >> 1
+              AND p.shard_bytes > {SHARD_BYTES}))
+        )
+        SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes,
+               's' || CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(prefix), 64, '0'), depth) END
+                 AS shard,
+               shard_bytes, true AS fits
+        FROM keyed JOIN leaf ON keyed.h >> (60 - depth) = prefix""",
 }
