@@ -45,6 +45,8 @@ from tidemark.session import scratch_path
 # Records (16 bytes) that one task matches, on average.
 RECORDS_PER_TASK = 1_500_000
 PROBES = 64
+# Ids sent along with a scan of the texts, at most: some 40 MB in a task's memory.
+BROADCAST_IDS = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -262,7 +264,7 @@ def _found_elsewhere(dealt: DataFrame, tasks: int) -> DataFrame:
 
 
 def _sets_of(texts: DataFrame, n: int) -> DataFrame:
-    """(id, n, shingles) with the sorted hashes, of (id, text)."""
+    """(id, n, sketch, shingles), the sorted hashes, of (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
@@ -273,11 +275,13 @@ def _sets_of(texts: DataFrame, n: int) -> DataFrame:
                 flat = np.concatenate(sets).view(np.int64)
                 ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
                 packed = pa.ListArray.from_arrays(ends, pa.array(flat))
+                sketches = pa.array([_sketch(s) for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), packed], names=["id", "n", "shingles"]
+                    [part.column(0), pa.array(sizes), sketches, packed],
+                    names=["id", "n", "sketch", "shingles"],
                 )
 
-    return texts.mapInArrow(run, "id long, n long, shingles array<long>")
+    return texts.mapInArrow(run, "id long, n long, sketch binary, shingles array<long>")
 
 
 def _dealt_signatures(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
@@ -336,17 +340,55 @@ def _rows(groups: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["g", "a", "b"])
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the number of shingles in each of about as many cells as there are shingles.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles. Cells are
+    ranges of hashes, their number a power of two, so a sketch folds to half its size.
+    """
+    bits = max(3, int(len(shingles)).bit_length())
+    cells = (shingles >> np.uint64(64 - bits)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=1 << bits) & 1).tobytes()
+
+
+def _sketch_distance(x: bytes, y: bytes) -> int:
+    a, b = (np.unpackbits(np.frombuffer(s, np.uint8)) for s in (x, y))
+    while len(a) > len(b):
+        a = a[::2] ^ a[1::2]
+    while len(b) > len(a):
+        b = b[::2] ^ b[1::2]
+    return int(np.count_nonzero(a != b))
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches, a hundredth of the sets, do not rule out."""
+    left = sets.select(F.col("id").alias("a"), "n", F.col("sketch").alias("s"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("t"))
+    fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+    both = pairs.join(left, "a").join(right, "b").where(fits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, s, t = (batch.column(i).to_pylist() for i in range(2, 6))
+            keep = [
+                (100 + percent) * _sketch_distance(x, y) <= (100 - percent) * (i + j)
+                for i, j, x, y in zip(n, m, s, t)
+            ]
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    ordered = both.select("a", "b", "n", "m", "s", "t")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    fits = F.col("n") * 100 >= F.col("m") * percent
     left = sets.select(F.col("id").alias("a"), "n", F.col("shingles").alias("s"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("shingles").alias("t"))
-    # Sizes first: they are 16 bytes, the sets kilobytes.
-    sized = pairs.join(left.select("a", "n"), "a").join(right.select("b", "m"), "b")
-    sized = sized.where(fits & (F.col("m") * 100 >= F.col("n") * percent)).select("a", "b")
-    both = sized.join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("s", "t"))
-    return both.where(100 * common >= percent * (F.col("n") + F.col("m") - common)).select("a", "b")
+    similar = 100 * common >= percent * (F.col("n") + F.col("m") - common)
+    return both.where(similar).select("a", "b").distinct()
 
 
 # --- The join --------------------------------------------------------------------------------
@@ -399,11 +441,16 @@ def ngram_classes(
     promising = classes.join(elsewhere, "probe", "left").where(
         8 * (F.col("shared") + F.coalesce("elsewhere", F.lit(0))) >= F.col("probed")
     )
-    wanted = _stored(promising.select("class_id", "n").distinct(), f"{root}/wanted")
+    wanted = _stored(
+        promising.select(F.col("class_id").alias("id")).distinct(), f"{root}/wanted"
+    )
     texts = documents.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
     )
-    texts = texts.join(wanted.select(F.col("class_id").alias("id")).distinct(), "id", "left_semi")
+    # A small list of ids goes to the texts; beyond the bound both sides are shuffled.
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    texts = texts.join(wanted, "id", "left_semi")
     # Rows of one id may have different texts: every text goes on under the id.
     sets = _stored(_sets_of(texts, n), f"{root}/sets").where("n > 0")
     size = F.col("n").cast("double")
@@ -415,13 +462,16 @@ def ngram_classes(
         f"{root}/matched",
     )
     pairs = matched.where("g IS NULL AND a <> b").select("a", "b").distinct()
-    links = _stored(_verified(pairs, sets, percent).distinct(), f"{root}/links")
-    far = _far_pairs(matched, links, sets, percent, root)
-    more = _stored(_verified(far, sets, percent).distinct(), f"{root}/more-links")
+    pairs = _stored(_plausible(pairs, sets, percent), f"{root}/pairs")
+    links = _stored(_verified(pairs, sets, percent), f"{root}/links")
+    far = _far_pairs(matched, links, sets, percent, root).join(pairs, ["a", "b"], "left_anti")
+    far = _stored(_plausible(far, sets, percent), f"{root}/far-pairs")
+    if not far.isEmpty():
+        links = links.unionAll(_stored(_verified(far, sets, percent), f"{root}/far-links"))
     # Classes join their ids, links join classes; rows that share an id join its texts.
     own = known.join(classes.select("print", "class_id"), "print").select("id", "class_id")
     same = own.where("id <> class_id").select(F.col("id").alias("a"), F.col("class_id").alias("b"))
-    joined = _stored(components(same.unionAll(links).unionAll(more)), f"{root}/components")
+    joined = _stored(components(same.unionAll(links)), f"{root}/components")
     found = rows.join(classes.select("print", "class_id"), "print", "left").join(
         joined.select("id", "component"), "id", "left"
     )
@@ -452,6 +502,6 @@ def _far_pairs(
     other = members.select(
         "g", F.col("id").alias("b"), F.col("part").alias("q"), F.col("n").alias("m")
     )
-    near = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     crossed = members.join(other, "g").where((F.col("id") < F.col("b")) & (F.col("part") != F.col("q")))
+    near = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     return crossed.where(near).select(F.col("id").alias("a"), "b").distinct()

@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+REMEMBERED = 300_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -19,28 +20,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 _FACTORS = mix(np.arange(1, 129, dtype=np.uint64) * _ODD) | np.uint64(1)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
+class WordHashes(dict):
+    """64-bit hashes of words (str or bytes), remembered."""
+
+    def __missing__(self, word: bytes | str) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
+    def of(self, words: list) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
 
 class Shingler:
     """Text to set; remembers the hashes of words, a bounded number of them."""
 
-    remembered = 300_000
-
     def __init__(self, n: int = 5):
         self.n = n
-        self.known = _Hashes()
+        self.known = WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()  # lower-cases A-Z, splits at the six blanks
         if not words:
             return np.empty(0, np.uint64)
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        hashes = self.known.of(words)
         size = min(self.n, len(words))  # at most 64
         count = len(words) - size + 1
         found = hashes[:count] * _FACTORS[size]

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe_stream,
+    license_scan,
     line_dedup,
     ngram_join,
     packing,
     quality_classifier,
     sharding,
     token_counts,
+    vector_dedup,
 )
 from tidemark.llm import quality_rules as rules
 
@@ -37,6 +39,10 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality_classifier.Model:
     return quality_classifier.fit(_table(spark, sf_dir, "documents"), labels)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model(spark, sf_dir)
     scored = quality_classifier.score(_table(spark, sf_dir, "documents"), model)
@@ -74,11 +80,16 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 QUERIES = [
+    op1_license_scan,
     op2_quality_classifier,
     op3_best_fit_packing,
     op4_ngram_join,
@@ -86,6 +97,7 @@ QUERIES = [
     op6_line_dedup,
     op7_token_counts,
     op8_bpe_round_trip,
+    op9_nn_descent,
     op10_extendible_shards,
 ]
 
