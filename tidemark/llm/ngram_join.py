@@ -11,8 +11,9 @@ are the signatures: linked sets share one.
 A signature of no shingles says nothing and would put unrelated sets into one huge group, so
 none is emitted. A part is thin for a set if some choice of its cells is empty. n1 has room: as
 long as a set has fewer thin parts than parts that must agree, one agreeing part is not thin.
-A set with more thin parts, mostly a small one, also emits its prefix: in the order of hashes
-the first quarter of its shingles and one. Two linked sets that both do share one of those.
+A set with more thin parts in a band, mostly a small one, also emits its prefix there: in the
+order of hashes the first quarter of its shingles and one. Two linked sets that both do share
+one of those.
 
 Before that, sets that cannot have a link are put aside. Shingles below a hash bound are
 probed, 64 to 128 of a set or all of a small one. A linked set has three quarters of its
@@ -21,8 +22,8 @@ other set has none. Small sets are probed whole; for larger ones the chance that
 link is below 1e-18, about that of two 64-bit hashes meeting by accident.
 
 Sets equal to each other are one class from the start. Groups of up to `small_group` sets with
-a common signature give all their pairs, larger ones a star around their smallest id. Pairs
-are verified on the sets themselves. In a large group that is not connected afterwards, the
+a common signature give all their pairs, larger ones a star around their most connected
+member. Pairs are verified on the sets themselves. In a large group that is not connected afterwards, the
 pairs across its components are verified as well, so the components are those of all links.
 """
 
@@ -84,8 +85,12 @@ def parts(band: int, percent: int) -> tuple[int, int, int, int]:
 
 
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """64-bit signatures of a set (sorted hashes) in its own band and the next."""
-    found, thin = [], False
+    """63-bit signatures of a set (sorted hashes) in its own band and the next.
+
+    The lowest bit tells the set's role: 1 in its own band. Two sets that both are guests of a
+    band share an own band and meet there.
+    """
+    found = []
     own = band_of(len(shingles), percent)
     for band in (own, own + 1):
         n1, n2, k2, agree = parts(band, percent)
@@ -105,11 +110,11 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
                 for i, s in enumerate(sums)
             ]
         )
-        found.append(made[~empty])
-        thin = thin or empty.any(axis=0).sum() >= agree
-    if thin:
-        prefix = len(shingles) - -(-len(shingles) * percent // 100) + 1
-        found.append(mix(shingles[:prefix] + _ODD))
+        made = made[~empty]
+        if empty.any(axis=0).sum() >= agree:
+            prefix = len(shingles) - -(-len(shingles) * percent // 100) + 1
+            made = np.r_[made, mix(mix(shingles[:prefix] + _ODD) + np.uint64(band))]
+        found.append(made & ~np.uint64(1) | np.uint64(band == own))
     return np.concatenate(found)
 
 
@@ -120,7 +125,7 @@ _DEALT = "bucket int, keys binary, owners binary"
 
 def _deal(keys: np.ndarray, owners: np.ndarray, buckets: int) -> dict[str, list]:
     """Records (key, owner) by bucket of the key, one packed row a bucket."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int32)
+    bucket = ((keys >> np.uint64(1)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     keys, owners, bucket = keys[order], owners[order], bucket[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
@@ -306,29 +311,43 @@ def _matches(dealt: DataFrame, tasks: int, small_group: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, owner in _by_bucket(batches):
-            fresh = np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]
-            key, owner = key[fresh], owner[fresh]
+            # Guests of a band sort before its own sets; a group without own sets says nothing.
+            own, key = (key & np.uint64(1)).astype(bool), key >> np.uint64(1)
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[start, len(key)])
+            useful = np.repeat(own[start + size - 1] & (size > 1), size)
+            key, owner, own = key[useful], owner[useful], own[useful]
+            if not len(key):
+                continue
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
             pairs = []
             for count in range(2, small_group + 1):
                 at = start[size == count]
                 for i, j in combinations(range(count), 2):
-                    pairs.append(np.stack([owner[at + i], owner[at + j]], axis=1))
-            groups: dict[bytes, np.ndarray] = {}
-            for at, count in zip(*(x[size > small_group] for x in (start, size))):
+                    some = at[own[at + j]]
+                    pairs.append(np.sort(np.stack([owner[some + i], owner[some + j]], axis=1), axis=1))
+            # A large group is a star around its most connected member: of edited copies, the
+            # text they were made from meets all of them, two copies may not meet each other.
+            large = size > small_group
+            names, place = np.unique(owner, return_inverse=True)
+            met = np.bincount(place, weights=np.repeat(size - 1, size))[place]
+            groups: dict[bytes, tuple[np.ndarray, int]] = {}
+            for at, count in zip(start[large], size[large]):
                 members = owner[at : at + count]
-                groups.setdefault(members.tobytes(), members)
-            for members in groups.values():
-                rest = members[1:]
-                pairs.append(np.stack([np.full(len(rest), members[0]), rest], axis=1))
+                centre = members[np.argmax(met[at : at + count])]
+                members = np.sort(members)
+                groups.setdefault(members.tobytes(), (members, centre))
+            for members, centre in groups.values():
+                rest = members[members != centre]
+                pairs.append(np.sort(np.stack([np.full(len(rest), centre), rest], axis=1), axis=1))
             if not pairs:
                 continue
             unique = np.unique(np.concatenate(pairs), axis=0)
             yield _rows(np.zeros(0, np.int64), unique)
-            for members in groups.values():
+            for members, centre in groups.values():
                 name = mix(members.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)
-                first = np.full(len(members), members[0])
+                first = np.full(len(members), centre)
                 yield _rows(np.full(len(members), name), np.stack([first, members], axis=1))
 
     return dealt.repartition(tasks, "bucket").mapInArrow(run, "g long, a long, b long")
