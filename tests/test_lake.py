@@ -1,3 +1,9 @@
+import time
+from datetime import datetime
+from pyspark.sql import functions as F
+from tidemark.schema import SILVER
+from tidemark.sources import paths
+from tidemark.sources.lake import overwrite_silver
 import os
 from datetime import datetime
 
@@ -227,3 +233,41 @@ def test_hours_outside_the_declared_ranges(spark, lake):
     tables.append_bronze(bronze_frame(spark, *rows), lake)
     assert tables.read_bronze(spark, lake).count() == 2
     assert hours(tables.read_bronze(spark, lake, declared_only=True)) == [(2024, 1, 30, 16)]
+
+
+def test_hours_go_by_their_numbers_whatever_the_clock(spark, lake, monkeypatch):
+    """An hour emptied in bronze leaves silver, in any zone of the driver and around its DST."""
+    for zone, day in (("America/New_York", 10), ("Asia/Tokyo", 11), ("UTC", 12)):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            hours = range(24)
+            stamps = {h: datetime(2024, 3, day, h) for h in hours}
+            rows = [(f"{day}-{h}", at.year, at.month, at.day, at.hour) for h, at in stamps.items()]
+            frame = spark.createDataFrame(
+                rows, "event_id string, year int, month int, day int, hour int"
+            )
+            empty = {c.name: F.lit(None).cast(c.dataType) for c in SILVER if c.name not in frame.columns}
+            frame = frame.withColumns(empty).select(SILVER.fieldNames())
+            overwrite_silver(frame, lake, datetime(2024, 3, day, 23), 30)
+            overwrite_silver(frame.where("hour <> 7"), lake, datetime(2024, 3, day, 23), 23)
+            left = spark.read.parquet(lake.silver).where(F.col("day") == day)
+            assert {r.hour for r in left.collect()} == set(hours) - {7}
+        finally:
+            monkeypatch.undo()
+            time.tzset()
+
+
+def test_partitions_that_name_no_hour(spark, lake):
+    frame = spark.createDataFrame(
+        [("a", 2024, 3, 1, 5), ("b", None, 3, 1, 5), ("c", 2024, 13, 1, 5)],
+        "event_id string, year int, month int, day int, hour int",
+    )
+    empty = {c.name: F.lit(None).cast(c.dataType) for c in SILVER if c.name not in frame.columns}
+    frame = frame.withColumns(empty).select(SILVER.fieldNames())
+    overwrite_silver(frame, lake, datetime(2024, 3, 1, 6), None)
+    # Inside a window they are left alone; the whole history replaces them too.
+    overwrite_silver(frame.where("false"), lake, datetime(2024, 3, 1, 6), 3)
+    assert len(paths.hour_folders(spark, lake.silver)) == 2
+    overwrite_silver(frame.where("event_id = 'a'"), lake, datetime(2024, 3, 1, 6), None)
+    assert [*paths.hour_folders(spark, lake.silver)] == [(2024, 3, 1, 5)]

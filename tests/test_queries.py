@@ -25,11 +25,16 @@ def ordered(rows):
     return sorted(rows, key=repr)
 
 
+CORPUS = ("op", "pipeline")  # these have tests of their own
+
+
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    names = {name for name in entry.queries() if not name.startswith(CORPUS)}
+    assert names == {name for name in entry.oracle_sql() if not name.startswith(CORPUS)}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(CORPUS)])
 def test_query(spark, sql, name):
     result = entry.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)

@@ -63,7 +63,7 @@ def instant(value: Column, kind_: Column) -> Column:
 
 def stored_text(value: Column, instant_: Column) -> Column:
     """The time as ISO text: seconds always, six fraction digits or none, offset as sent."""
-    zone = F.regexp_extract(F.substring(value, 17, 100_000), r"([Zz]|[+-]\d{2}:?\d{2})$", 1)
+    zone = F.regexp_extract(F.substr(value, F.lit(17)), r"([Zz]|[+-]\d{2}:?\d{2})$", 1)
     minutes = _offset_minutes(zone)
     wall = instant_ + F.make_dt_interval(mins=minutes)
     shown_zone = (

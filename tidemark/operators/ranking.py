@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Sample rows per bucket. More even out the bucket sizes.
 SAMPLE_PER_BUCKET = 32
-MAX_BUCKETS = 256
+# Rows a bucket should hold at most, on average.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def top(counts: DataFrame, key: str, value: str, limit: int) -> DataFrame:
@@ -41,7 +42,8 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     """
     spark = counts.sparkSession
     if buckets is None:
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, -(-counts.count() // ROWS_PER_BUCKET))
 
     ranked = counts.withColumn("place", F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
     sample = ranked.orderBy(F.xxhash64(key), key).limit(buckets * SAMPLE_PER_BUCKET)

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import (
-    bucket,
     in_declared_ranges,
-    in_lookback,
     literal,
     lookback_cutoff,
     partition_columns,
@@ -164,16 +162,16 @@ def overwrite_silver(
     have none any more are removed after that, so a failed job leaves silver as it was.
     """
     spark = rows.sparkSession
-    window = F.lit(True) if lookback_hours is None else in_lookback(as_of, lookback_hours)
-    # One value per hour of the window, read from the partition names alone.
-    stored = read_silver(spark, lake).where(window).select(bucket().alias("hour")).distinct()
-    before = {row.hour for row in stored.collect()}
+    first = None if lookback_hours is None else lookback_cutoff(as_of, lookback_hours)
+    before = paths.hour_folders(spark, lake.silver, first)
 
     written = Observation()
     (
         _by_hour(rows)
         .observe(
-            written, F.count("*").alias("rows"), F.collect_set(bucket()).alias("hours")
+            written,
+            F.count("*").alias("rows"),
+            F.collect_set(F.struct(*PARTITION_COLUMNS)).alias("hours"),
         )
         .transform(_partition_names, lake)
         .write.mode("overwrite")
@@ -181,8 +179,9 @@ def overwrite_silver(
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(lake.silver)
     )
-    for hour in sorted(before - set(written.get["hours"])):
-        for folder in paths.hour_folders(spark, lake.silver, hour):
+    kept = {tuple(hour) for hour in written.get["hours"]}
+    for hour in before.keys() - kept:
+        for folder in before[hour]:
             paths.delete(spark, folder)
     return written.get["rows"]
 

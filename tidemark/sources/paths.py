@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
@@ -21,9 +23,46 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
-def hour_folders(spark: SparkSession, table_path: str, hour) -> list[str]:
-    """Folders of one hour partition, with plain and with zero-padded numbers."""
-    plain = f"year={hour.year}/month={hour.month}/day={hour.day}/hour={hour.hour}"
-    padded = f"year={hour:%Y}/month={hour:%m}/day={hour:%d}/hour={hour:%H}"
-    found = {f"{table_path}/{name}" for name in (plain, padded)}
-    return [path for path in sorted(found) if exists(spark, path)]
+def _number(name: str) -> int | None:
+    """The number a partition folder is named after, plain or padded; None if it names none."""
+    value = name.partition("=")[2]
+    return int(value) if value.lstrip("-").isdigit() else None
+
+
+def _in_window(hour: tuple, first: datetime) -> bool:
+    """Whether the numbers, as far as given, can still name an hour from `first` on."""
+    from_hour = (first.year, first.month, first.day, first.hour)
+    return None not in hour and hour >= from_hour[: len(hour)]
+
+
+def hour_folders(
+    spark: SparkSession, table_path: str, first: datetime | None = None
+) -> dict[tuple, list[str]]:
+    """Folders of hour partitions by (year, month, day, hour), taken from their names.
+
+    With `first` only hours from that on, and only folders that can hold one are listed.
+    Partitions go by their numbers: no clock and no time zone has a part in it. A name
+    without a number stands as None; numbers that make no hour are none of the window.
+    """
+    files, root = _resolve(spark, table_path)
+    level = {(): [root]} if files.exists(root) else {}
+    for _ in range(4):
+        below: dict[tuple, list] = {}
+        for hour, folders in level.items():
+            for status in (s for folder in folders for s in files.listStatus(folder)):
+                name = status.getPath().getName()
+                if status.isDirectory() and "=" in name:
+                    found = (*hour, _number(name))
+                    if first is None or _in_window(found, first):
+                        below.setdefault(found, []).append(status.getPath())
+        level = below
+    found = {hour: [f.toString() for f in folders] for hour, folders in level.items()}
+    return found if first is None else {h: f for h, f in found.items() if _is_hour(h)}
+
+
+def _is_hour(hour: tuple) -> bool:
+    try:
+        datetime(*hour)
+    except ValueError:
+        return False
+    return True
