@@ -185,7 +185,7 @@ def test_shingle_counts():
 def plain_links(rows, threshold):
     """{id: (links, component)} for rows (id, vector, label) with distinct ids."""
     usable = [
-        (i, np.array(v, float), l) for i, v, l in rows
+        (i, np.array(v, float) / max(map(abs, v)), l) for i, v, l in rows
         if l is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)
     ]
     sets, count = Sets(), {i: 0 for i, _, _ in rows}
