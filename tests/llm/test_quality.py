@@ -43,7 +43,7 @@ def verdict(text):
 
 def test_bands():
     rng = random.Random(2)
-    noise = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(9000))
+    noise = "".join(chr(rng.randrange(33, 127)) for _ in range(9000))
     clean = prose(rng, 2000)
     assert verdict("The river runs under the old stone bridge and over again. " * 8)[2] is False
     assert verdict(noise)[2] is False
