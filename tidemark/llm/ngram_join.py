@@ -23,8 +23,9 @@ link is below 1e-18, about that of two 64-bit hashes meeting by accident.
 
 Sets equal to each other are one class from the start. Groups of up to `small_group` sets with
 a common signature give all their pairs, larger ones a star around their most connected
-member. Pairs are verified on the sets themselves. In a large group that is not connected afterwards, the
-pairs across its components are verified as well, so the components are those of all links.
+member. Pairs are verified on the sets themselves. In a large group that is not connected
+afterwards, pairs across its components that share one of their rarest shingles are verified
+as well, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -508,7 +509,13 @@ def ngram_classes(
 def _far_pairs(
     matched: DataFrame, links: DataFrame, sets: DataFrame, percent: int, root: str
 ) -> DataFrame:
-    """Pairs across the components of a large group; none where its star has connected it."""
+    """Pairs across the components of a large group; none where its star has connected it.
+
+    Of all members of such groups together, two linked sets share a shingle among the rarest
+    quarter and one of each, in the order of (frequency among these members, hash). Only pairs
+    that do are given: neither copies edited too far nor texts around a common passage are,
+    as what they have of their own is rarer than what they share.
+    """
     members = matched.where("g IS NOT NULL").select("g", F.col("b").alias("id")).distinct()
     joined = _stored(components(links), f"{root}/first-components")
     members = members.join(joined, "id", "left").select(
@@ -516,11 +523,106 @@ def _far_pairs(
     )
     split = members.groupBy("g").agg(F.min("part").alias("x"), F.max("part").alias("y"))
     split = split.where("x <> y").select("g")
-    members = members.join(split, "g", "left_semi").join(sets.select("id", "n").distinct(), "id")
-    members = _stored(members.select("g", "id", "part", "n"), f"{root}/split-groups")
-    other = members.select(
-        "g", F.col("id").alias("b"), F.col("part").alias("q"), F.col("n").alias("m")
-    )
-    crossed = members.join(other, "g").where((F.col("id") < F.col("b")) & (F.col("part") != F.col("q")))
-    near = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    return crossed.where(near).select(F.col("id").alias("a"), "b").distinct()
+    members = members.join(split, "g", "left_semi").select("id", "part").distinct()
+    members = _stored(members, f"{root}/split-members")
+    own = _stored(sets.join(members.select("id"), "id", "left_semi"), f"{root}/split-sets")
+    tasks = _tasks(own.sparkSession, int(own.agg(F.sum("n")).first()[0] or 0))
+    prefixes = _rare_prefixes(own.select("id", "n", "shingles"), percent, tasks)
+    return _crossed(prefixes.join(members, "id"), percent, tasks)
+
+
+def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """(key, id, n, met): the rarest shingles of each set that another set has too.
+
+    `met` of the set's n shingles are in another set, so it has no more in common with any.
+
+    A key is the frequency of a shingle above 44 bits of it, so keys sort by rarity. Shingles
+    with one key count as equal, which can only add pairs.
+    """
+    buckets = 4 * tasks
+
+    def packed(dealt: dict[str, list]) -> pa.RecordBatch:
+        columns = zip(dealt.values(), (pa.int32(), pa.binary(), pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=[*dealt])
+
+    def by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                ids, sizes, lists = batch.slice(at, 500).columns
+                owners = np.repeat(ids.to_numpy(), sizes.to_numpy())
+                yield packed(_deal(lists.flatten().to_numpy().view(np.uint64), owners, buckets))
+
+    def by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, owner in _by_bucket(batches):
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[start, len(key)])
+            often = np.repeat(np.minimum(size, (1 << 19) - 1), size)
+            rank = often.astype(np.int64) << 44 | (key >> np.uint64(20)).astype(np.int64)
+            met = often > 1
+            yield packed(_deal(owner[met].view(np.uint64), rank[met], buckets))
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, counts = (c.to_numpy() for c in batch.columns)
+            yield packed(_deal(ids.view(np.uint64), -counts, buckets))
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, value in _by_bucket(batches):
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            kept, ids, counts, common = [], [], [], []
+            for first, end in zip(start, [*start[1:], len(key)]):
+                # Sizes are negative and come before the ranks.
+                n = -value[first:end][value[first:end] < 0]
+                ranks = value[first + len(n) : end]
+                met = len(ranks)
+                if len(n) == 1:  # an id with several texts keeps all ranks
+                    alone = n[0] - met
+                    ranks = ranks[: max(0, n[0] - -(-n[0] * percent // 100) + 1 - alone)]
+                for one in n:
+                    kept.append(ranks)
+                    ids.append(np.full(len(ranks), key[first]).view(np.int64))
+                    counts.append(np.full(len(ranks), one))
+                    common.append(np.full(len(ranks), min(met, one)))
+            if kept:
+                columns = [pa.array(np.concatenate(c), pa.int64()) for c in (kept, ids, counts, common)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "n", "met"])
+
+    records = sets.select("id", "n", "shingles").mapInArrow(by_shingle, _DEALT)
+    ranked = records.repartition(tasks, "bucket").mapInArrow(by_id, _DEALT)
+    ranked = ranked.unionAll(sets.select("id", "n").mapInArrow(sizes, _DEALT))
+    ranked = ranked.repartition(tasks, "bucket")
+    return ranked.mapInArrow(prefix, "key long, id long, n long, met long")
+
+
+def _crossed(prefixes: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """Pairs (a, b) of different parts with a common key, with n and met that allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
+        if not held:
+            return
+        key, n, met, ids, part = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((n, key))
+        key, n, met, ids, part = (c[order] for c in (key, n, met, ids, part))
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        found, waiting = [], 0
+        for first, end in zip(start, [*start[1:], len(key)]):
+            if (part[first:end] == part[first]).all():
+                continue
+            for i in range(first, end):
+                # Sizes ascend within a key: partners up to the largest allowed size.
+                last = np.searchsorted(n[i + 1 : end], n[i] * 100 // percent, "right") + i + 1
+                rest = slice(i + 1, last)
+                least = percent * (n[rest] + n[i])
+                fits = (100 + percent) * np.minimum(met[rest], met[i]) >= least
+                other = ids[rest][fits & (part[rest] != part[i])]
+                found.append(np.sort(np.stack([np.full(len(other), ids[i]), other], axis=1), axis=1))
+                waiting += len(other)
+                if waiting > 1_000_000:
+                    yield _rows(np.zeros(0, np.int64), np.unique(np.concatenate(found), axis=0))
+                    found, waiting = [], 0
+        if found:
+            yield _rows(np.zeros(0, np.int64), np.unique(np.concatenate(found), axis=0))
+
+    dealt = prefixes.select("key", "n", "met", "id", "part").repartition(tasks, "key")
+    return dealt.mapInArrow(run, "g long, a long, b long").select("a", "b").distinct()
