@@ -1,4 +1,5 @@
 import time
+from dataclasses import replace
 from datetime import datetime
 from pyspark.sql import functions as F
 from tidemark.schema import SILVER
@@ -8,7 +9,7 @@ import os
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from tests.conftest import bronze_frame, bronze_row, options, tuples
 from tidemark.operators.refine import refine
@@ -139,7 +140,7 @@ def test_future_hours_are_replaced_and_not_doubled(spark, lake):
 def test_a_failed_run_leaves_silver_as_it_was(spark, lake):
     rows = [bronze_row("a", **at(16)), bronze_row("b", **at(17))]
     tables.append_bronze(bronze_frame(spark, *rows), lake)
-    hourly.run_silver(spark, lake, AS_OF)
+    hourly.run(spark, lake, AS_OF)
     before = snapshot(spark, lake)
     broken = refine(tables.read_bronze(spark, lake), AS_OF).withColumn(
         "page", F.when(F.col("event_id") == "b", F.raise_error(F.lit("lost"))).otherwise("x")
@@ -180,8 +181,10 @@ def test_zero_padded_folders(spark, tmp_path):
     assert [h[3] for h in hours(tables.read_silver(spark, padded))] == [3, 16]
 
 
-def test_tables_that_do_not_exist_yet_read_as_empty(spark, lake):
-    assert tables.read_bronze(spark, lake).count() == 0
+def test_a_missing_table_is_an_error_and_a_seeded_one_is_empty(spark, lake):
+    for first in (None, AS_OF):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            tables.read_bronze(spark, lake, first=first)
     tables.seed(spark, lake)
     tables.seed(spark, lake)
     for df in (
@@ -201,9 +204,9 @@ def test_catalog_tables(spark, lake):
     tables.append_bronze(bronze_frame(spark, bronze_row("a", **at(16))), lake)
     hourly.run(spark, lake, AS_OF)
     tables.register_tables(spark, lake, "catalog_test")
+    lake = replace(lake, database="catalog_test")
     tables.append_bronze(bronze_frame(spark, bronze_row("b", **at(17))), lake)
     hourly.run(spark, lake, AS_OF)
-    tables.register_tables(spark, lake, "catalog_test")
     found = spark.sql("SELECT event_id, hour FROM catalog_test.silver WHERE day = 30")
     assert tuples(found) == [("a", 16), ("b", 17)]
     assert tuples(spark.table("catalog_test.gold_events")) == [("page_view", 2)]
@@ -211,6 +214,37 @@ def test_catalog_tables(spark, lake):
     assert types["timestamp"] == "timestamp" and types["year"] == "int"
 
 
+def test_hours_that_vanish_leave_the_catalog(spark, tmp_path):
+    lake = Lake(str(tmp_path / "it's"), padded=True, database="vanishing")
+    tables.append_bronze(bronze_frame(spark, bronze_row("a", **at(9))), lake)
+    hourly.run(spark, lake, datetime(2024, 1, 30, 10))
+    tables.register_tables(spark, lake, "vanishing")
+    # An earlier copy turns up.
+    tables.append_bronze(bronze_frame(spark, bronze_row("a", **at(8))), lake)
+    hourly.run(spark, lake, datetime(2024, 1, 30, 10))
+    assert hours(spark.table("vanishing.silver")) == [(2024, 1, 30, 8)]
+    assert spark.sql("SHOW PARTITIONS vanishing.silver").count() == 1
+    assert spark.sql("SHOW PARTITIONS vanishing.bronze").count() == 2
+
+
+def test_a_window_lists_only_its_own_folders(spark, lake):
+    rows = [bronze_row(f"e{d}", **at(16, day=d)) for d in range(1, 31)]
+    tables.append_bronze(bronze_frame(spark, *rows), lake)
+    window = tables.read_bronze(spark, lake, first=datetime(2024, 1, 29))
+    assert len(window.inputFiles()) == 2
+    assert hours(window) == [(2024, 1, 29, 16), (2024, 1, 30, 16)]
+    assert tables.read_bronze(spark, lake, first=datetime(2025, 1, 1)).count() == 0
+
+
+def test_a_failed_metric_keeps_the_previous_rows(spark, lake):
+    rows = spark.createDataFrame([("search", 5)], GOLD["events"])
+    tables.overwrite_gold(rows, lake, "events")
+    broken = rows.withColumn("count", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        tables.overwrite_gold(broken, lake, "events")
+    assert tuples(tables.read_gold(spark, lake, "events")) == [("search", 5)]
+
+
 def test_views_over_gold(spark, lake):
     tables.append_bronze(bronze_frame(spark, bronze_row("a", **at(16))), lake)
     hourly.run(spark, lake, AS_OF)

@@ -74,7 +74,7 @@ def test_every_fault_is_reported(spark):
     assert reasons(spark, record) == [
         ("event_id", "string_type"),
         ("event_type", "enum"),
-        ("timestamp", "datetime_parsing"),
+        ("timestamp", "datetime_from_date_parsing"),
         ("page", "missing"),
         ("metadata", "dict_type"),
     ]
@@ -126,6 +126,13 @@ TIMES = [
     ("1705312800", "2024-01-15T10:00:00Z", (2024, 1, 15, 10)),
     ("2024", "1970-01-01T00:33:44Z", (1970, 1, 1, 0)),
     (-1.5, "1969-12-31T23:59:58.500000Z", (1969, 12, 31, 23)),
+    ("2024-01-15T10:00Z", "2024-01-15T10:00:00Z", (2024, 1, 15, 10)),
+    ("2024-01-15T10:00:00+19:00", "2024-01-15T10:00:00+19:00", (2024, 1, 14, 15)),
+    ("2024-01-15T10:00:00-23:59", "2024-01-15T10:00:00-23:59", (2024, 1, 16, 9)),
+    ("2024-01-15T10:00:00\u221205:00", "2024-01-15T10:00:00-05:00", (2024, 1, 15, 15)),
+    ("1705312800.", "2024-01-15T10:00:00Z", (2024, 1, 15, 10)),
+    (".5", "1970-01-01T00:00:00.500000Z", (1970, 1, 1, 0)),
+    ("5.", "1970-01-01T00:00:05Z", (1970, 1, 1, 0)),
 ]
 
 
@@ -159,12 +166,24 @@ def test_stored_times_type_to_the_same_instant(spark):
         "2024-01-15T25:00:00Z",
         "2024-01-15T10:61:00Z",
         "24-01-15T10:00:00Z",
+        "0000-01-01",
+        "2024-01-15T10:00:00+24:00",
         "2024-01-15T10:00:00+5",
         10**18,
     ],
 )
 def test_text_and_numbers_that_are_no_time(spark, sent):
-    assert reasons(spark, event(timestamp=sent)) == [("timestamp", "datetime_parsing")]
+    kind = "datetime_from_date_parsing" if isinstance(sent, str) else "datetime_parsing"
+    assert reasons(spark, event(timestamp=sent)) == [("timestamp", kind)]
+
+
+def test_numbers_and_keys_of_metadata_stay_as_sent(spark):
+    big = "12345678901234567890123456789012345678901"
+    sent = '{"z":1.0,"a":%s,"m":{"y":20.5,"b":"é"}}' % big
+    text = json.dumps(EVENT).replace('{"query": "shoes"}', sent)
+    assert validate.accepted(parse(spark, text)).head().metadata == sent
+    text = json.dumps(EVENT).replace('{"query": "shoes"}', '{"query": "a", "query": "b"}')
+    assert validate.accepted(parse(spark, text)).head().metadata == '{"query":"b"}'
 
 
 def test_time_of_a_wrong_type(spark):

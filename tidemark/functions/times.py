@@ -32,9 +32,35 @@ def typed_timestamp(text: Column) -> Column:
     """Timestamp text to TIMESTAMP, NULL where it is none.
 
     The cast alone would also take a bare year, a bare time of day or an hour without
-    minutes, so the text has to have the form above.
+    minutes, so the text has to have the form above. Forms that the cast refuses are read
+    by their numbers.
     """
-    return F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp"))
+    cast = F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp"))
+    return F.coalesce(cast, F.when(text.rlike(NUMBERS_TEXT), _by_numbers(text)))
+
+
+# Fixed value: also slashes, longer years, several blanks, a zone without seconds, any offset.
+NUMBERS_TEXT = (
+    r"^\s*(\d{4,6})([-/])(\d{1,2})\2(\d{1,2})"
+    r"((T|\s+)(\d{1,2}):(\d{1,2})(:(\d{1,2}(\.\d*)?))?(Z|([+-])(\d{2})(:?(\d{2}))?)?)?\s*$"
+)
+
+
+def _by_numbers(text: Column) -> Column:
+    """The instant that the numbers of a text name; midnight may be 24:00:00 of the day before."""
+
+    def number(group: int, type_: str = "int") -> Column:
+        return F.coalesce(F.regexp_extract(text, NUMBERS_TEXT, group).try_cast(type_), F.lit(0))
+
+    zero = F.lit(0)
+    day = F.try_make_timestamp(number(1), number(3), number(4), zero, zero, zero)
+    hour, minute, second = number(7), number(8), number(10, "decimal(18,6)")
+    real = (hour < 24) & (minute < 60) & (second < 60)
+    midnight = (hour == 24) & (minute == 0) & (second == 0)
+    sign = F.when(F.regexp_extract(text, NUMBERS_TEXT, 13) == "-", -1).otherwise(1)
+    ahead = F.make_dt_interval(hours=sign * number(14), mins=sign * number(16))
+    time = F.make_dt_interval(hours=hour, mins=minute, secs=second)
+    return F.when(real | midnight, day + time - ahead)
 
 
 def bucket() -> Column:

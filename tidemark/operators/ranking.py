@@ -35,9 +35,9 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
 
     A window over the whole table would sort it in one task. Here the order is cut into
     buckets of like size, rows are numbered inside their bucket, and the sizes of the
-    buckets before it are added. The cuts come from the rows with the smallest key hashes:
-    a fixed number of rows, spread evenly over the order, and the same on every
-    recomputation. Bucket n becomes partition n, so the rows come out, and are written to
+    buckets before it are added. The cuts come from rows whose key hash a modulus divides:
+    some 32 a bucket, spread evenly over the order, picked where they lie, and the same on
+    every recomputation. Bucket n becomes partition n, so the rows come out, and are written to
     files, in the order of their number.
     """
     spark = counts.sparkSession
@@ -46,9 +46,14 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
         buckets = max(least, -(-counts.count() // ROWS_PER_BUCKET))
 
     ranked = counts.withColumn("place", F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
-    sample = ranked.orderBy(F.xxhash64(key), key).limit(buckets * SAMPLE_PER_BUCKET)
-    cuts = sample.agg(F.sort_array(F.collect_list("place")).alias("places")).select(
-        F.filter("places", lambda _, i: i % SAMPLE_PER_BUCKET == SAMPLE_PER_BUCKET - 1)
+    total = counts.agg(F.count("*")).scalar()
+    modulus = F.greatest(F.lit(1), F.floor(total / (buckets * SAMPLE_PER_BUCKET)))
+    sample = ranked.where(F.pmod(F.xxhash64(key), modulus) == 0)
+    places = sample.agg(F.sort_array(F.collect_list("place")).alias("places"))
+    # At most one cut a bucket, whatever the sample's size turns out to be.
+    step = F.greatest(F.lit(1), F.ceil(F.size("places") / buckets))
+    cuts = places.withColumn("step", step).select(
+        F.filter("places", lambda _, i: i % F.col("step") == F.col("step") - 1)
     )
     bucketed = ranked.withColumn("cuts", cuts.scalar()).withColumn("bucket", _cuts_before(buckets))
 

@@ -17,7 +17,8 @@ MESSAGES = {
     "string_type": "Input should be a valid string",
     "enum": "Input should be 'page_view', 'button_click', 'search', 'signup' or 'purchase'",
     "datetime_type": "Input should be a valid datetime",
-    "datetime_parsing": "Input should be a valid datetime or date",
+    "datetime_parsing": "Input should be a valid datetime",
+    "datetime_from_date_parsing": "Input should be a valid datetime or date",
     "dict_type": "Input should be a valid dictionary",
 }
 
@@ -51,7 +52,11 @@ def _faults() -> list[Column]:
         elif field == "timestamp":
             timelike = P.is_text(kind) | P.is_number(kind)
             faults.append(_fault("datetime_type", field, ~timelike))
-            faults.append(_fault("datetime_parsing", field, timelike & F.col("instant").isNull()))
+            no_time = F.col("instant").isNull()
+            faults.append(
+                _fault("datetime_from_date_parsing", field, P.is_text(kind) & no_time)
+            )
+            faults.append(_fault("datetime_parsing", field, P.is_number(kind) & no_time))
         else:
             faults.append(_fault("string_type", field, ~P.is_text(kind)))
     faults.append(_fault("dict_type", "metadata", ~P.is_object(_kind("metadata"))))
@@ -83,25 +88,37 @@ def _computed_once(rows: DataFrame, *columns: Column) -> DataFrame:
 
 
 def _read_fields(raw: DataFrame, column: str) -> DataFrame:
-    """Every field of every record, as it was sent and as text; NULL unless an object."""
+    """Every field of every record, as it was sent and as text; NULL unless an object.
+
+    The text comes from the record itself: a VARIANT would write large numbers anew and sort
+    the keys. It keeps repeated keys too; metadata that has any is taken from the VARIANT,
+    and so is the time, whose number must not be written with an exponent.
+    """
     payload = F.col("payload")
     fields = [*REQUIRED_FIELDS, "metadata"]
-
-    def as_struct(type_: str) -> Column:
-        return payload.try_cast(f"struct<{', '.join(f'{f}: {type_}' for f in fields)}>")
-
+    sent = payload.try_cast(f"struct<{', '.join(f'{f}: variant' for f in fields)}>")
+    time = F.try_variant_get("payload", "$.timestamp", "string")
+    text = F.from_json("raw", ", ".join(f"{f} string" for f in fields))
     parsed = raw.select(F.col(column).alias("raw"), F.try_parse_json(column).alias("payload"))
     read = _computed_once(
         parsed,
         payload.isNotNull().alias("is_json"),
-        as_struct("variant").alias("sent"),
-        as_struct("string").alias("text"),
+        sent.alias("sent"),
+        text.withField("timestamp", P.plain_sign(time)).alias("text"),
     ).drop("payload")
     return _computed_once(
         read, P.instant(_text("timestamp"), _kind("timestamp")).alias("instant")
     )
 
 
+def _metadata() -> Column:
+    text = _text("metadata")
+    keys = F.json_object_keys(text)
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    once = F.when(repeated, F.col("sent.metadata").try_cast("string")).otherwise(text)
+    return F.coalesce(F.when(text == "{}", text).otherwise(once), F.lit("{}"))
+
+
 def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Parse and check every record of a JSON text column; no record fails the job.
 
@@ -121,7 +138,7 @@ def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
         "raw",
         errors.alias("errors"),
         *[(stored_time if f == "timestamp" else _text(f)).alias(f) for f in REQUIRED_FIELDS],
-        F.coalesce(_text("metadata"), F.lit("{}")).alias("metadata"),
+        _metadata().alias("metadata"),
         *partition_columns(F.col("instant")),
     )
 

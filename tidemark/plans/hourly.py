@@ -1,4 +1,4 @@
-"""The hourly batch run: bronze to silver, silver to every gold metric, gold to the marts."""
+"""The hourly batch run: bronze to silver, silver to every gold metric."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from tidemark.functions.times import as_utc
+from tidemark.functions.times import as_utc, lookback_cutoff
 from tidemark.operators.metrics import METRICS
 from tidemark.operators.refine import refine
 from tidemark.sources import lake as tables
@@ -24,14 +24,17 @@ def run_silver(
 ) -> int:
     """Refine the lookback window again and replace its hours; returns the rows written."""
     as_of = as_utc(as_of)
-    rows = refine(tables.read_bronze(spark, lake), as_of, lookback_hours, **options)
+    first = None if lookback_hours is None else lookback_cutoff(as_of, lookback_hours)
+    bronze = tables.read_bronze(spark, lake, first=first)
+    rows = refine(bronze, as_of, lookback_hours, **options)
     return tables.overwrite_silver(rows, lake, as_of, lookback_hours)
 
 
 def run_gold(spark: SparkSession, lake: Lake, as_of: datetime | None = None) -> dict[str, int]:
     """Compute every metric from the stored silver table and replace it; rows per metric."""
     as_of = as_utc(as_of)
-    silver = tables.read_silver(spark, lake)
+    day = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    silver = tables.read_silver(spark, lake, first=day)
     return {
         metric: tables.overwrite_gold(compute(silver, as_of), lake, metric)
         for metric, compute in METRICS.items()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import (
+    as_utc,
     in_declared_ranges,
     literal,
     lookback_cutoff,
@@ -23,11 +25,13 @@ from tidemark.sources import paths
 class Lake:
     """Locations under one root. `padded` names partitions month=07 instead of month=7.
 
-    Both forms can be read; use one of them per lake.
+    Both forms can be read; use one of them per lake. Writes keep the catalog entries in
+    `database` up to date, if it is given and `register_tables` has made them.
     """
 
     root: str
     padded: bool = False
+    database: str | None = None
 
     @property
     def bronze(self) -> str:
@@ -46,25 +50,48 @@ class Lake:
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not paths.exists(spark, path):
-        return spark.createDataFrame([], schema)
+    """A folder that is not there is an error; `seed` makes empty ones."""
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
 def _by_hour_table(
-    spark: SparkSession, path: str, schema: T.StructType, declared_only: bool
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    declared_only: bool,
+    first: datetime | None,
 ) -> DataFrame:
-    rows = _read(spark, path, schema)
+    if first is None or not paths.exists(spark, path):
+        rows = _read(spark, path, schema)
+    else:
+        found = paths.hour_folders(spark, path, as_utc(first), real=False).values()
+        folders = [folder for hour in found for folder in hour]
+        reader = spark.read.schema(schema).option("basePath", path)
+        rows = reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+        rows = rows.select(schema.fieldNames())
     return rows.where(in_declared_ranges()) if declared_only else rows
 
 
-def read_bronze(spark: SparkSession, lake: Lake, declared_only: bool = False) -> DataFrame:
-    """All hours, or only those within the partition ranges the catalog declares."""
-    return _by_hour_table(spark, lake.bronze, BRONZE, declared_only)
+def read_bronze(
+    spark: SparkSession,
+    lake: Lake,
+    declared_only: bool = False,
+    first: datetime | None = None,
+) -> DataFrame:
+    """All hours, or only those within the partition ranges the catalog declares.
+
+    With `first` only folders of that hour and later ones are listed and read.
+    """
+    return _by_hour_table(spark, lake.bronze, BRONZE, declared_only, first)
 
 
-def read_silver(spark: SparkSession, lake: Lake, declared_only: bool = False) -> DataFrame:
-    return _by_hour_table(spark, lake.silver, SILVER, declared_only)
+def read_silver(
+    spark: SparkSession,
+    lake: Lake,
+    declared_only: bool = False,
+    first: datetime | None = None,
+) -> DataFrame:
+    return _by_hour_table(spark, lake.silver, SILVER, declared_only, first)
 
 
 def lookback_partitions(
@@ -131,14 +158,50 @@ def append_bronze(events: DataFrame, lake: Lake) -> int:
     written = Observation()
     (
         _by_hour(_partition_names(events, lake))
-        .observe(written, F.count("*").alias("rows"))
+        .observe(
+            written,
+            F.count("*").alias("rows"),
+            F.collect_set(F.struct(*PARTITION_COLUMNS)).alias("hours"),
+        )
         .write.mode("append")
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(lake.bronze)
     )
+    hours = {tuple(int(n) for n in hour) for hour in written.get["hours"] if None not in hour}
+    _update_catalog(events.sparkSession, lake, "bronze", hours, set())
     return written.get["rows"]
 
 
+def _update_catalog(
+    spark: SparkSession, lake: Lake, name: str, written: set[tuple], removed: set[tuple]
+) -> None:
+    """Make new hours of a table visible in the catalog and forget removed ones."""
+    if lake.database is None or not spark.catalog.tableExists(f"{lake.database}.{name}"):
+        return
+    table = f"{lake.database}.{name}"
+
+    def named(hour: tuple) -> str:
+        return ", ".join(f"{c} = {n}" for c, n in zip(PARTITION_COLUMNS, hour))
+
+    def location(hour: tuple) -> str:
+        widths = (4, 2, 2, 2) if lake.padded else (1, 1, 1, 1)
+        parts = [f"{c}={n:0{w}d}" for c, n, w in zip(PARTITION_COLUMNS, hour, widths)]
+        return _escaped("/".join([f"{lake.root}/{name}", *parts]))
+
+    added = [f"PARTITION ({named(h)}) LOCATION {location(h)}" for h in sorted(written)]
+    for start in range(0, len(added), 1000):
+        some = " ".join(added[start : start + 1000])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+    gone = [f"PARTITION ({named(h)})" for h in sorted(h for h in removed if None not in h)]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+    spark.catalog.refreshTable(table)
+
+
+def _escaped(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def append_quarantine(rejects: DataFrame, lake: Lake, query: str, batch_id: int) -> int:
     """Store the rejects of one batch of a stream; writing the same batch again replaces it."""
     written = Observation()
@@ -183,19 +246,31 @@ def overwrite_silver(
     for hour in before.keys() - kept:
         for folder in before[hour]:
             paths.delete(spark, folder)
+    new = {hour for hour in kept if None not in hour}
+    _update_catalog(spark, lake, "silver", new, before.keys() - kept)
     return written.get["rows"]
 
 
 def overwrite_gold(rows: DataFrame, lake: Lake, metric: str) -> int:
-    """Replace a whole metric; returns the number of rows written."""
+    """Replace a whole metric; returns the number of rows written.
+
+    The rows are written beside it and take its place when that has worked. Should the
+    driver die between the two renames, reads fail until the next run instead of giving
+    an empty or half metric.
+    """
+    spark = rows.sparkSession
     written = Observation()
+    staged = f"{lake.root}/staged/{metric}-{uuid.uuid4().hex}"
     (
         rows.select(GOLD[metric].fieldNames())
         .observe(written, F.count("*").alias("rows"))
-        .write.mode("overwrite")
-        .parquet(lake.gold(metric))
+        .write.parquet(staged)
     )
-    return written.get["rows"]
+    count = written.get["rows"]
+    paths.replace(spark, staged, lake.gold(metric))
+    if lake.database and spark.catalog.tableExists(f"{lake.database}.gold_{metric}"):
+        spark.catalog.refreshTable(f"{lake.database}.gold_{metric}")
+    return count
 
 
 def seed(spark: SparkSession, lake: Lake) -> None:
@@ -212,9 +287,11 @@ def seed(spark: SparkSession, lake: Lake) -> None:
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
     """Create or update the catalog entries of all tables over their folders.
 
-    The tables are external, so dropping an old entry leaves the data alone.
+    The tables are external. Writes through a `Lake` that names the database keep their
+    hours up to date; after other writes call this again.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/catalog'")
+    at = _escaped(f"{lake.root}/catalog")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {at}")
     tables = {"bronze": (lake.bronze, BRONZE), "silver": (lake.silver, SILVER)}
     tables |= {f"gold_{m}": (lake.gold(m), schema) for m, schema in GOLD.items()}
     for name, (path, schema) in tables.items():
@@ -222,9 +299,19 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         by_hour = set(PARTITION_COLUMNS) <= set(schema.fieldNames())
         partitioned = f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})" if by_hour else ""
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitioned}"
+            f" LOCATION {_escaped(path)}"
         )
-        if by_hour:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        if by_hour and not lake.padded:
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        elif by_hour:  # a repair would enter 07 and 7 as two different partitions
+            found = set(paths.hour_folders(spark, path))
+            known = spark.sql(f"SHOW PARTITIONS {table}").collect()
+            named = {
+                tuple(int(part.partition("=")[2]) for part in row.partition.split("/"))
+                for row in known
+            }
+            written = {hour for hour in found if None not in hour}
+            _update_catalog(spark, replace(lake, database=database), name, written, named - found)
+        spark.catalog.refreshTable(table)

@@ -35,14 +35,27 @@ def _in_window(hour: tuple, first: datetime) -> bool:
     return None not in hour and hour >= from_hour[: len(hour)]
 
 
+def replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of another, which goes only after that."""
+    files, new = _resolve(spark, staged)
+    old, old_away = (_resolve(spark, p)[1] for p in (target, f"{staged}-replaced"))
+    if files.exists(old) and not files.rename(old, old_away):
+        raise OSError(f"{target} could not be moved")
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise OSError(f"{staged} could not take the place of {target}")
+    files.delete(old_away, True)
+
+
 def hour_folders(
-    spark: SparkSession, table_path: str, first: datetime | None = None
+    spark: SparkSession, table_path: str, first: datetime | None = None, real: bool = True
 ) -> dict[tuple, list[str]]:
     """Folders of hour partitions by (year, month, day, hour), taken from their names.
 
     With `first` only hours from that on, and only folders that can hold one are listed.
     Partitions go by their numbers: no clock and no time zone has a part in it. A name
-    without a number stands as None; numbers that make no hour are none of the window.
+    without a number stands as None; numbers that make no hour are none of the window
+    unless `real` is false.
     """
     files, root = _resolve(spark, table_path)
     level = {(): [root]} if files.exists(root) else {}
@@ -57,7 +70,7 @@ def hour_folders(
                         below.setdefault(found, []).append(status.getPath())
         level = below
     found = {hour: [f.toString() for f in folders] for hour, folders in level.items()}
-    return found if first is None else {h: f for h, f in found.items() if _is_hour(h)}
+    return found if first is None or not real else {h: f for h, f in found.items() if _is_hour(h)}
 
 
 def _is_hour(hour: tuple) -> bool:

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.schema import REQUIRED_FIELDS
 
 
+# Files of one batch unless told otherwise: a backlog is worked off in several batches.
+FILES_PER_TRIGGER = 1000
+
+
 def read_landing(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER
 ) -> DataFrame:
     """Stream of JSON lines from the files of a folder, oldest first, as column `raw`."""
     reader = spark.readStream.format("text")
