@@ -223,6 +223,40 @@ def test_vectors(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_vectors_between_dense_groups(spark):
+    """Groups whose members have only members of their own group among their nearest 32."""
+    rng = np.random.default_rng(8)
+    axes = np.linalg.qr(rng.normal(size=(64, 64)))[0].T
+
+    def cloud(centre, count):
+        # Spread in dimensions 8 and on: cosine about 0.985 within.
+        noise = rng.normal(size=(count, 56)) @ axes[8:]
+        noise *= 0.12 / np.linalg.norm(noise, axis=1)[:, None]
+        return (centre / np.linalg.norm(centre) + noise).tolist()
+
+    def turned(angle, plane):
+        return np.cos(angle) * axes[plane] + np.sin(angle) * axes[plane + 1]
+
+    vectors = []
+    for angle in (0.0, 0.31, 0.62):  # neighbours linked in part, the outer two not
+        vectors += cloud(turned(angle, 0), 150)
+    for angle in (0.0, 0.6):  # not linked
+        vectors += cloud(turned(angle, 2), 60)
+    rows = [(i, v, 0) for i, v in enumerate(vectors)]
+    units = np.array(vectors) / np.linalg.norm(vectors, axis=1)[:, None]
+    cosine = units @ units.T
+    linked = cosine >= 0.93
+    assert 0 < linked[:150, 150:300].sum() and not linked[:150, 300:450].any()
+    nearest = np.argsort(-cosine, axis=1)[:, :33]
+    assert all((nearest[:450] // 150 == np.arange(450)[:, None] // 150).ravel())
+
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(frame).collect()}
+    want = plain_links(rows, 0.93)
+    assert sorted({c for _, c in want.values()}) == [0, 450, 510]
+    assert got == want
+
+
 def test_vector_edges(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert vector_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0

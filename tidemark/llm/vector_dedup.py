@@ -5,7 +5,10 @@ blocks of vectors that follow each other in the order of a random-hyperplane cod
 with different hyperplanes. Each round joins neighbours of neighbours: the lists of a vector,
 and of some that list it, meet in one row, all cosines among them are taken at once, and each
 vector keeps the best. A list whose entries all lie above the threshold is saturated, there may
-be more links than it holds: such lists are enlarged and the rounds go on.
+be more links than it holds: such lists are enlarged and the rounds go on, up to a limit.
+
+A list still full then can lack links, but only to vectors whose lists are full too: of other
+large components. These are cut into balls and compared by the triangle inequality, exactly.
 
 The edges at or above the threshold, taken again in double precision, give components. Within a
 component all links are counted, also those no list holds: vectors within half the threshold
@@ -73,8 +76,8 @@ def _matrix(units, kind=np.float64) -> np.ndarray:
     return np.stack([np.frombuffer(u, kind) for u in units])
 
 
-def _first_lists(points: DataFrame, table: int, k: int) -> DataFrame:
-    """Edges to the nearest vectors of the own block, in the order of one code."""
+def _coded(points: DataFrame, table: int, more: str = "") -> DataFrame:
+    """The rows, `_VECTOR` and the columns `more`, with a random-hyperplane code."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -92,6 +95,12 @@ def _first_lists(points: DataFrame, table: int, k: int) -> DataFrame:
                 [*batch.columns, pa.array(codes)], names=[*batch.schema.names, "code"]
             )
 
+    return points.mapInArrow(code, _VECTOR + more + ", code long")
+
+
+def _first_lists(points: DataFrame, table: int, k: int) -> DataFrame:
+    """Edges to the nearest vectors of the own block, in the order of one code."""
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
@@ -103,8 +112,7 @@ def _first_lists(points: DataFrame, table: int, k: int) -> DataFrame:
         if held:
             yield _nearest(held, k)
 
-    coded = points.mapInArrow(code, _VECTOR + ", code long")
-    ordered = coded.repartitionByRange("label", "size", "code", "id")
+    ordered = _coded(points, table).repartitionByRange("label", "size", "code", "id")
     return ordered.sortWithinPartitions("label", "size", "code", "id").mapInArrow(blocks, _EDGE)
 
 
@@ -212,6 +220,137 @@ def _search(
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _balls(members: DataFrame) -> DataFrame:
+    """Blocks of one component in code order, with a vector near the middle and a radius."""
+
+    def ball(rows: list[tuple]) -> tuple:
+        x = _matrix([r[3] for r in rows])
+        middle = int(np.argmax(x @ x.sum(axis=0)))
+        radius = float(np.arccos(np.clip(x @ x[middle], -1, 1)).max())
+        ids, units = [r[0] for r in rows], [r[3] for r in rows]
+        return (ids[middle], *rows[0][1:3], rows[0][4], units[middle], radius, ids, units)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cut(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([value], kind) for value, kind in zip(ball(rows), kinds)], names=names
+            )
+
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.float64(),
+                 pa.list_(pa.int64()), pa.list_(pa.binary())]
+        names = ["ball", "label", "size", "component", "pivot", "radius", "ids", "units"]
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                key = (row[1], row[2], row[4])
+                if held and (key != (*held[-1][1:3], held[-1][4]) or len(held) == BLOCK):
+                    yield cut(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield cut(held)
+
+    order = ["label", "size", "component", "code", "id"]
+    coded = _coded(members.select("id", "label", "size", "unit", "component"), 0, ", component long")
+    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order).drop("code")
+    return ordered.mapInArrow(
+        run,
+        "ball long, label string, size int, component long, pivot binary, radius double, "
+        "ids array<long>, units array<binary>",
+    )
+
+
+def _met(balls: DataFrame, threshold: float, direct: bool) -> DataFrame:
+    """Pairs of balls (a, b) of different components, by their pivots in blocks.
+
+    `direct`: their pivots are linked; one pair of two components a block. Otherwise all whose
+    vectors can be linked: the angle of the pivots is at most both radii and the threshold's.
+    """
+    angle = float(np.arccos(threshold))
+    kinds = balls.groupBy("label", "size").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("blocks"))
+    packed = balls.join(kinds, ["label", "size"]).groupBy(
+        "label", "size", F.pmod(F.xxhash64("ball"), F.col("blocks")).alias("block")
+    ).agg(F.collect_list(F.struct("ball", "component", "radius", "pivot")).alias("held"))
+    one = packed.select("label", "size", F.col("block").alias("x_block"), F.col("held").alias("x"))
+    other = packed.select("label", "size", "block", F.col("held").alias("y"))
+    pairs = one.join(other, ["label", "size"]).where("x_block <= block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                cosine = _matrix([m["pivot"] for m in x]) @ _matrix([m["pivot"] for m in y]).T
+                ids, others = (np.array([m["ball"] for m in s], np.int64) for s in (x, y))
+                part, other_part = (np.array([m["component"] for m in s], np.int64) for s in (x, y))
+                if direct:
+                    hit = cosine >= threshold
+                else:
+                    radius, other_radius = (np.array([m["radius"] for m in s]) for s in (x, y))
+                    reach = angle + radius[:, None] + other_radius[None, :] + 1e-6
+                    hit = np.arccos(np.clip(cosine, -1, 1)) <= reach
+                rows, columns = np.nonzero(hit & (part[:, None] != other_part[None, :]))
+                if direct:
+                    both = np.sort(np.stack([part[rows], other_part[columns]]), axis=0)
+                    kept = np.unique(both, axis=1, return_index=True)[1]
+                    rows, columns = rows[kept], columns[kept]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[rows]), pa.array(others[columns])], names=["a", "b"]
+                )
+
+    return pairs.select("x", "y").mapInArrow(run, "a long, b long").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
+
+
+def _merged(
+    points: DataFrame, parts: DataFrame, threshold: float, least: int, root: str
+) -> DataFrame:
+    """`parts` (id, component) joined where vectors of two large components are linked.
+
+    A link that no list holds has two ends with full lists, and a full list lies in a
+    component of more than `least` vectors. Such components are cut into balls and compared
+    exactly: first the pivots, then the vectors of all pairs of balls that are still in
+    different components and near enough. One link of two balls is enough, as all links
+    inside a component are counted later.
+    """
+    large = parts.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    members = points.join(parts.join(large, "component", "left_semi"), "id")
+    balls = _stored(_balls(members), f"{root}-balls")
+    if balls.isEmpty():
+        return parts
+
+    def joined(links: DataFrame, name: str) -> DataFrame:
+        if links.isEmpty():
+            return parts
+        held = parts.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return _stored(components(held.unionAll(links)), f"{root}-{name}")
+
+    heads = balls.select("ball", "label", "size", "component", "pivot", "radius")
+    parts = joined(_stored(_met(heads, threshold, True), f"{root}-pivots"), "by-pivots")
+    now = parts.select(F.col("id").alias("ball"), "component")
+    heads = heads.drop("component").join(now, "ball")
+    near = _stored(_met(heads, threshold, False), f"{root}-near")
+    held = balls.select("ball", "ids", "units")
+    one, other = (held.select(F.col("ball").alias(n), F.struct("ids", "units").alias(s))
+                  for n, s in (("a", "x"), ("b", "y")))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = []
+            for x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                cosine = _matrix(x["units"]) @ _matrix(y["units"]).T
+                row, column = np.unravel_index(np.argmax(cosine), cosine.shape)
+                if cosine[row, column] >= threshold:
+                    links.append((x["ids"][row], y["ids"][column]))
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+            )
+
+    compared = near.join(one, "a").join(other, "b").select("x", "y")
+    links = _stored(compared.mapInArrow(compare, "a long, b long"), f"{root}-links")
+    return joined(links, "by-vectors")
+
+
 def _counted(points: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
     """(id, links) of the vectors in `parts` (id, component): all links in their component.
 
@@ -371,6 +510,7 @@ def near_vectors(
         found = _search(searched, threshold, more, k, most, f"{root}/search-{attempt}")
         pairs = found if pairs is None else pairs.unionAll(found)
         parts = _stored(components(pairs), f"{root}/parts-{attempt}")
+        parts = _merged(searched, parts, threshold, most, f"{root}/merged-{attempt}")
         reached, there = audited_recall(searched, parts, threshold, sample)
         done = more.stop
         if reached >= target * there:
