@@ -257,6 +257,33 @@ def test_vectors_between_dense_groups(spark):
     assert got == want
 
 
+def test_vector_audit(spark, monkeypatch):
+    """Few links, none at an id divisible by four; one large group beside pairs."""
+    rng = np.random.default_rng(3)
+    vectors = np.repeat(rng.normal(size=(300, 64)), 2, axis=0)
+    vectors[1::2] += 0.1 * rng.normal(size=(300, 64))
+    hot = rng.normal(size=64)
+    group = [(hot + 0.05 * rng.normal(size=64)).tolist() for _ in range(200)]
+    # No pair has an id divisible by four, the group lies beside them under another label.
+    rows = [(4 * i + 1, v.tolist(), 0) for i, v in enumerate(vectors)]
+    rows += [(4 * i, v, 1) for i, v in enumerate(group)]
+    schema = "vec_id long, embedding array<double>, label int"
+    frame = spark.createDataFrame(rows, schema)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(frame).collect()}
+    want = plain_links(rows, 0.93)
+    assert sum(n for n, _ in want.values()) == 600 + 200 * 199
+    assert got == want
+
+    # A search that loses all pairs but finds the large group must not pass.
+    def blind(points, *rest):
+        return points.where("label = 1").selectExpr("0L AS a", "id AS b")
+
+    monkeypatch.setattr(vector_dedup, "_search", blind)
+    for part, reached in ((frame, "0.[1-5]"), (frame.where("label = 0"), "0.0000")):
+        with pytest.raises(RuntimeError, match=f"recall {reached}.* after 12 orders"):
+            vector_dedup.near_vectors(part, attempts=2)
+
+
 def test_vector_edges(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert vector_dedup.near_vectors(spark.createDataFrame([], schema)).count() == 0

@@ -16,8 +16,10 @@ angle of the component's first vector are all linked to each other, so they are
 the others are compared with the component in blocks. So a vector with very many near copies
 neither needs a list of them nor emits the pairs.
 
-An audit compares a bounded sample of vectors with all vectors of their label and gives the
-recall of the links; below the target, further orders and rounds are added.
+An audit compares every 20th id, and as many drawn by hash, with all vectors of its label, more
+where few have links, and gives the recall of the links and of a vector's links; below the
+target, further orders and rounds are added, and if they do not help the search ends with an
+error.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ from tidemark.session import scratch_path
 
 CODE_BITS = 30
 BLOCK = 128
+AUDIT_BLOCK = 1024
+# The audit asks for every 20th id and as many drawn by hash, for more while too few have links.
+AUDIT_STEPS = (20, 4, 1)
 _VECTOR = "id long, label string, size int, unit binary"
 _EDGE = "a long, b long, cosine double"
 
@@ -420,46 +425,60 @@ def _counted(points: DataFrame, parts: DataFrame, threshold: float) -> DataFrame
 
 
 def audited_recall(
-    points: DataFrame, parts: DataFrame, threshold: float, sample: int
-) -> tuple[int, int]:
-    """Links of a sample of vectors to all vectors: how many are found, how many there are.
+    points: DataFrame, parts: DataFrame, threshold: float, every: int
+) -> tuple[int, float, float]:
+    """(vectors with links, recall of links, mean recall of a vector) of the audited vectors.
 
-    `sample` bounds what is brought to the driver and sent along with the task. A link is
-    found if both ends are in one component, where all links are counted.
+    Audited are the vectors whose step `asked` is at least `every`; each is compared with all
+    vectors of its label, in blocks dealt by hash. A link is found if both ends are in one component, where
+    all links are counted. The mean over vectors does not let a large group hide small ones.
     """
     rows = points.join(parts, "id", "left").select(
-        "id", "label", "size", "unit", F.coalesce("component", "id").alias("component")
+        "id", "label", "size", "unit", "asked", F.coalesce("component", "id").alias("component")
     )
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    by_kind: dict[tuple, list] = {}
-    for row in chosen:
-        by_kind.setdefault((row.label, row["size"]), []).append(
-            (row.id, row.component, bytes(row.unit))
-        )
+    kinds = rows.groupBy("label", "size").agg(F.ceil(F.count("*") / AUDIT_BLOCK).alias("blocks"))
+    dealt = rows.join(kinds, ["label", "size"]).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks"))
+    )
+    member = F.collect_list(F.struct("id", "component", "unit"))
+    block = ["label", "size", "block"]
+    asking = dealt.where(F.col("asked") >= every).groupBy(*block).agg(member.alias("x"))
+    others = dealt.groupBy(*block).agg(member.alias("y"))
+    pairs = asking.drop("block").join(others.drop("block"), ["label", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = there = 0
-            columns = [c.to_pylist() for c in batch.columns]
-            groups: dict[tuple, list] = {}
-            for id_, label, size, unit, part in zip(*columns):
-                if (label, size) in by_kind:
-                    groups.setdefault((label, size), []).append((id_, part, unit))
-            for kind, own in groups.items():
-                other = by_kind[kind]
-                hit = _matrix([m[2] for m in own]) @ _matrix([m[2] for m in other]).T >= threshold
-                ids, asked = (np.array([m[0] for m in s]) for s in (own, other))
-                hit &= ids[:, None] != asked[None, :]
-                part, asked_part = (np.array([m[1] for m in s]) for s in (own, other))
-                there += int(hit.sum())
-                found += int((hit & (part[:, None] == asked_part[None, :])).sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([found]), pa.array([there])], names=["found", "there"]
-            )
+            for x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                hit = _matrix([m["unit"] for m in x]) @ _matrix([m["unit"] for m in y]).T
+                ids, other_ids = (np.array([m["id"] for m in s], np.int64) for s in (x, y))
+                hit = (hit >= threshold) & (ids[:, None] != other_ids[None, :])
+                part, other = (np.array([m["component"] for m in s], np.int64) for s in (x, y))
+                found = (hit & (part[:, None] == other[None, :])).sum(axis=1)
+                there = hit.sum(axis=1)
+                some = there > 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c[some].astype(np.int64)) for c in (ids, found, there)],
+                    names=["id", "found", "there"],
+                )
+
+    compared = pairs.select("x", "y").mapInArrow(run, "id long, found long, there long")
+    single = compared.groupBy("id").agg(F.sum("found").alias("found"), F.sum("there").alias("there"))
+    linked, found, there, share = single.agg(
+        F.count("*"), F.sum("found"), F.sum("there"), F.avg(F.col("found") / F.col("there"))
+    ).first()
+    return (linked, found / there, share) if linked else (0, 1.0, 1.0)
 
-    sums = rows.mapInArrow(run, "found long, there long").agg(F.sum("found"), F.sum("there"))
-    found, there = sums.first()
-    return found or 0, there or 0
+
+def _audit(points: DataFrame, parts: DataFrame, threshold: float, enough: int) -> float:
+    """The lower of both recalls, over as many ids as it takes to see `enough` linked vectors.
+
+    The last step audits every vector: then the recall is that of the whole table.
+    """
+    for every in AUDIT_STEPS:
+        linked, of_links, of_vectors = audited_recall(points, parts, threshold, every)
+        if linked >= enough:
+            break
+    return min(of_links, of_vectors)
 
 
 def near_vectors(
@@ -468,8 +487,9 @@ def near_vectors(
     k: int = 8,
     most: int = 32,
     tables: int = 4,
-    sample: int = 512,
+    enough: int = 100,
     target: float = 0.97,
+    attempts: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     label_col: str = "label",
@@ -483,6 +503,9 @@ def near_vectors(
     row's own; a row without an id has no component and is kept. Rows that repeat an id with
     the same vector and label count once. An empty table gives no rows; other columns are not
     read.
+
+    The audit needs `enough` linked vectors or looks at all; each further attempt doubles the
+    orders, and a recall below `target` after the last one is an error that names it.
     """
     spark = vectors.sparkSession
     root = scratch_path(spark, "vectors")
@@ -497,24 +520,34 @@ def near_vectors(
     )
     # Equal vectors stand for each other; the smallest id represents them.
     equal = units.withColumn("print", F.md5("unit"))
+    drawn, step = F.xxhash64("id"), F.lit(AUDIT_STEPS[-1])
+    for every in reversed(AUDIT_STEPS):
+        step = F.when(F.pmod(drawn, F.lit(every)) == 0, every).otherwise(step)
+    step = F.when(F.pmod("id", F.lit(AUDIT_STEPS[0])) == 0, AUDIT_STEPS[0]).otherwise(step)
     points = _stored(
         equal.groupBy("label", "size", "print").agg(
-            F.min("id").alias("id"), F.count("*").alias("weight"), F.min("unit").alias("unit")
+            F.min("id").alias("id"), F.count("*").alias("weight"), F.min("unit").alias("unit"),
+            F.max(step).alias("asked"),
         ),
         f"{root}/points",
-    )
+    )
     searched = points.select("id", "label", "size", "unit")
+    audited = points.select("id", "label", "size", "unit", "asked")
     pairs, done = None, 0
-    for attempt in range(3):
+    for attempt in range(attempts):
         more = range(done, done + tables * 2**attempt)
         found = _search(searched, threshold, more, k, most, f"{root}/search-{attempt}")
         pairs = found if pairs is None else pairs.unionAll(found)
         parts = _stored(components(pairs), f"{root}/parts-{attempt}")
         parts = _merged(searched, parts, threshold, most, f"{root}/merged-{attempt}")
-        reached, there = audited_recall(searched, parts, threshold, sample)
+        reached = _audit(audited, parts, threshold, enough)
         done = more.stop
-        if reached >= target * there:
+        if reached >= target:
             break
+    else:
+        raise RuntimeError(
+            f"recall {reached:.4f} of the audited links after {done} orders, {target} is wanted"
+        )
     counts = _counted(points, parts, threshold)
     held = points.join(counts, "id", "left").join(parts, "id", "left")
     held = held.select(
