@@ -3,6 +3,7 @@
 import os
 import random
 import re
+from base64 import b64encode
 from collections import Counter
 
 import pytest
@@ -54,6 +55,27 @@ def test_bands():
     assert not verdict(clean[:2000] + noise)[2]
 
 
+def spaced(text, size):
+    return " ".join(text[i : i + size] for i in range(0, len(text), size))
+
+
+def test_bands_reject_encoded_text():
+    rng = random.Random(4)
+    encoded = lambda n: spaced(b64encode(rng.randbytes(n)).decode()[:n], 16)
+    for size in (220, 300, 450, 600, 940, 1500, 2700, 5000, 30_000):
+        assert not verdict(encoded(size))[2], size
+    wide = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    assert not verdict(wide(9000))[2] and not verdict(spaced(wide(9000), 6))[2]
+    assert not verdict(spaced(wide(900), 6))[2]
+    assert verdict("The river runs under the old stone bridge and over again. " * 4)[2] is False
+    # Half of a long text: encoded, or random printable characters.
+    clean = prose(rng, 2700)[:24_000]
+    printable = "".join(chr(rng.randrange(33, 127)) for _ in range(24_000))
+    assert verdict(clean)[2]
+    assert not verdict(clean + " " + encoded(23_000))[2]
+    assert not verdict(clean + " " + spaced(printable, 12))[2]
+
+
 def test_rules_table(spark):
     documents = edge_documents(spark)
     rows = rules.quality_rules(documents).collect()

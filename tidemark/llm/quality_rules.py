@@ -29,11 +29,16 @@ _DROP_SYMBOLS = str.maketrans("", "", SYMBOLS)
 
 @dataclass(frozen=True)
 class Band:
-    """Least and most compressed size over size, for inputs of at least `from_bytes` bytes."""
+    """Least and most compressed size over size, for inputs of at least `from_bytes` bytes.
+
+    `most_wide` is the most for texts of many code points beyond one byte: their characters
+    are many, so short texts compress worse than Latin ones.
+    """
 
     from_bytes: int
     least: float
     most: float
+    most_wide: float
 
 
 @dataclass(frozen=True)
@@ -45,17 +50,27 @@ class Rules:
     level: int = 3
     chunk_bytes: int = 4096
     bands: tuple[Band, ...] = (
-        Band(0, 0.0, 1.20),
-        Band(256, 0.25, 0.90),
-        Band(1024, 0.20, 0.80),
-        Band(4096, 0.17, 0.75),
-        Band(32768, 0.12, 0.72),
+        # Most: a little above the highest ratio of natural text cut at the band's first byte.
+        Band(0, 0.0, 1.20, 1.20),
+        Band(192, 0.36, 0.92, 1.10),
+        Band(256, 0.25, 0.83, 1.06),
+        Band(512, 0.25, 0.75, 0.92),
+        Band(1024, 0.20, 0.68, 0.80),
+        Band(2048, 0.20, 0.60, 0.68),
+        Band(4096, 0.17, 0.56, 0.60),
+        Band(32768, 0.12, 0.50, 0.50),
     )
-    max_bad_chunks: float = 0.5
+    wide_from: float = 1.1
+    max_bad_chunks: float = 0.25
 
-    def within(self, compressed: int, size: int) -> bool:
+    def within(self, compressed: int, size: int, wide: bool = False) -> bool:
         band = max((b for b in self.bands if b.from_bytes <= size), key=lambda b: b.from_bytes)
-        return band.least * size <= compressed <= band.most * size
+        return band.least * size <= compressed <= (band.most_wide if wide else band.most) * size
+
+    def is_wide(self, data: bytes) -> bool:
+        """Whether the bytes per code point are at least `wide_from`."""
+        points = np.count_nonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+        return len(data) >= self.wide_from * points
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
@@ -113,10 +128,14 @@ def ratios(text: str, rules: Rules, packer: zstandard.ZstdCompressor) -> tuple[f
     cuts = chunks(data, rules.chunk_bytes)
     if len(cuts) > 1:
         sizes = [len(packer.compress(c)) for c in cuts]
-        bad = sum(not rules.within(s, len(c)) for s, c in zip(sizes, cuts)) / len(cuts)
+        bad = sum(
+            not rules.within(s, len(c), rules.is_wide(c)) for s, c in zip(sizes, cuts)
+        ) / len(cuts)
+        inside = rules.within(whole, len(data), rules.is_wide(data))
     else:
-        bad = float(not rules.within(whole, len(data)))
-    inside = rules.within(whole, len(data)) and bad <= rules.max_bad_chunks
+        inside = rules.within(whole, len(data), rules.is_wide(data))
+        bad = float(not inside)
+    inside = inside and bad <= rules.max_bad_chunks
     return whole / len(data), bad, inside
 
 
