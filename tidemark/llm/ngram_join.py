@@ -16,10 +16,11 @@ order of hashes the first quarter of its shingles and one. Two linked sets that
 one of those.
 
 Before that, sets that cannot have a link are put aside. Shingles below a hash bound are
-probed, 64 to 128 of a set or all of a small one. A linked set has three quarters of its
-shingles in common with another set, so one with less than an eighth of its probes in any
-other set has none. Small sets are probed whole; for larger ones the chance that this misses a
-link is below 1e-18, about that of two 64-bit hashes meeting by accident.
+probed, 64 to 128 of a set on average or all of a small one; a set is judged by those below the
+bound of its largest partner, 48 to 96. A linked set has three quarters of its shingles in
+common with another set, so one with less than an eighth of its judged probes in any other set
+is taken to have none. Small sets are judged whole; for larger ones the chance that this misses
+a link at exactly 0.75 is at most 5.4e-14 (48 judged on average; 3.1e-16 at 192 shingles).
 
 Sets equal to each other are one class from the start. Groups of up to `small_group` sets with
 a common signature give all their pairs, larger ones a star around their most connected
