@@ -162,6 +162,18 @@ def plain_matched(template, words):
     return best
 
 
+def test_packing_by_given_clusters(spark):
+    rows = [(i, f"the same text but for word {i}", f"s{i}", 7 if i < 3 else None) for i in range(5)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string, part long")
+
+    def bins(**more):
+        return {r.doc_id: r.bin_id for r in packing.best_fit(documents, 1000, **more).collect()}
+
+    assert len(set(bins().values())) == 1  # near copies are no exact copies
+    given = bins(cluster_col="part")
+    assert len({given[i] for i in range(3)}) == 3 and given[3] == given[4]
+
+
 def test_licenses_against_full_alignment():
     rng = random.Random(12)
     scan = license_scan.Scan()

@@ -96,13 +96,15 @@ def best_fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    cluster_col: str | None = None,
 ) -> DataFrame:
     """(id, start, length, bin_id) of every piece of every row.
 
     Lengths are UTF-8 bytes, the tokens of a byte-level model; `start` is the piece's first
     byte in the text. A bin holds at most `capacity` bytes, at most `per_source` pieces of one
-    source and no two texts of a duplicate cluster. Texts are duplicates that are equal but
-    for blanks and case. Pieces that fill a bin alone meet nothing.
+    source and no two texts of a duplicate cluster: those of one value of `cluster_col`, such as
+    the n-gram join's component. Without that column, or where it is null, a cluster is the
+    texts that are equal but for blanks and case. Pieces that fill a bin alone meet nothing.
 
     A null or empty text is one piece of length 0 without a bin. A null source is a source
     like any other. Repeated rows are duplicates, they share a cluster and so never a bin;
@@ -112,26 +114,32 @@ def best_fit(
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     plain = F.regexp_replace(F.lower(text), "[ \\t\\n\\x0B\\f\\r]+", " ")
+    print_ = F.unhex(F.md5(plain))
+    cluster = print_
+    if cluster_col is not None:
+        given = F.md5(F.concat(F.lit("cluster "), F.col(f"`{cluster_col}`").cast("string")))
+        cluster = F.coalesce(F.unhex(given), print_)
     rows = documents.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.octet_length(text).cast("long").alias("bytes"),
-        F.unhex(F.md5(plain)).alias("cluster"),
+        cluster.alias("cluster"),
+        print_.alias("print"),
     )
     spark = documents.sparkSession
     items = documents.select(F.lit(1)).count()
     blocks = max(1, -(-items // BLOCK_ITEMS))
     # Equal rows differ in nothing, so they may fall into one block; the bins keep them apart.
-    block = F.pmod(F.xxhash64("id", "cluster"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("id", "print"), F.lit(blocks)).cast("int")
     rest = (F.col("bytes") % capacity).alias("length")
     small = rows.select(
         block.alias("block"), rest, "source", "cluster", "id",
-        (F.col("bytes") - F.col("bytes") % capacity).alias("start"),
+        (F.col("bytes") - F.col("bytes") % capacity).alias("start"), "print",
     ).where("length > 0 OR start = 0")
     ordered = small.repartition(_tasks(spark, blocks), "block").sortWithinPartitions(
-        "block", F.desc("length"), F.xxhash64("id"), "id", "cluster", "source"
+        "block", F.desc("length"), F.xxhash64("id"), "id", "print", "source"
     )
-    packed = ordered.mapInArrow(
+    packed = ordered.drop("print").mapInArrow(
         _pack(per_source, capacity),
         f"block int, bin int, length long, id {dict(rows.dtypes)['id']}, start long",
     )
@@ -144,13 +152,13 @@ def best_fit(
     copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
     whole = (
         rows.where(F.col("bytes") >= capacity)
-        .groupBy("id", "cluster", "bytes", "source")
+        .groupBy("id", "print", "bytes", "source")
         .agg(F.count("*").alias("copies"))
-        .select("id", "cluster", "source", "bytes", F.explode(copies).alias("copy"))
-        .select("id", "cluster", "source", "copy", F.explode(places).alias("place"))
+        .select("id", "print", "source", "bytes", F.explode(copies).alias("copy"))
+        .select("id", "print", "source", "copy", F.explode(places).alias("place"))
     )
     name = F.concat_ws(
-        "-", F.lit("w"), F.md5(F.to_json(F.struct("id", "cluster", "source"))), "copy", "place"
+        "-", F.lit("w"), F.md5(F.to_json(F.struct("id", F.col("print").alias("cluster"), "source"))), "copy", "place"
     )
     whole = whole.select(
         "id",
