@@ -1,0 +1,145 @@
+"""The index of settled ids: what it leaves out, what it reads, when it is out of date."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import bronze_frame, bronze_row, options, plan, silver_frame, silver_row
+from tidemark.plans import hourly
+from tidemark.sources import id_index, snapshots
+from tidemark.sources import lake as tables
+from tidemark.sources.lake import Lake
+
+AS_OF = datetime(2024, 1, 30, 18)
+FIRST = datetime(2024, 1, 30, 15)
+
+
+def at(name, day, hour):
+    time = f"2024-01-{day:02d}T{hour:02d}"
+    return bronze_row(name, at=f"{time}:00:00", timestamp=f"{time}:05:00Z")
+
+
+def rows_of(spark, lake):
+    return sorted((r.event_id, r.day, r.hour) for r in tables.read_silver(spark, lake).collect())
+
+
+HISTORY = [("a", 28, 3), ("b", 28, 23), ("c", 29, 10), ("d", 30, 9), ("e", 30, 16)]
+
+
+@pytest.fixture(params=[False, True], ids=["folders", "snapshots"])
+def lake(request, spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), snapshots=request.param)
+    tables.append_bronze(bronze_frame(spark, *[at(*row) for row in HISTORY]), lake)
+    hourly.run_silver(spark, lake, AS_OF, lookback_hours=None)
+    return lake
+
+
+def test_later_copies_of_settled_events_are_left_out(spark, lake):
+    again = [at(name, 30, 17) for name in "abcde"] + [at("new", 30, 17)]
+    tables.append_bronze(bronze_frame(spark, *again), lake)
+    hourly.run_silver(spark, lake, AS_OF, leave_out_settled=True)
+    assert rows_of(spark, lake) == sorted([*HISTORY, ("new", 30, 17)])
+    assert sorted(id_index.indexed_days(spark, lake)) == [20240128, 20240129]
+    # Running again changes nothing; without the index the copies come in.
+    hourly.run_silver(spark, lake, AS_OF, leave_out_settled=True)
+    assert rows_of(spark, lake) == sorted([*HISTORY, ("new", 30, 17)])
+    hourly.run_silver(spark, lake, AS_OF)
+    assert len(rows_of(spark, lake)) == len(HISTORY) + 5
+
+
+def test_horizon_limits_what_is_read(spark, lake):
+    tables.append_bronze(bronze_frame(spark, *[at(n, 30, 17) for n in "abcd"]), lake)
+    hourly.run_silver(spark, lake, AS_OF, leave_out_settled=True, horizon_days=1)
+    assert rows_of(spark, lake) == sorted([*HISTORY, ("a", 30, 17), ("b", 30, 17)])
+    read = plan(id_index.indexed_ids(spark, lake, 1, FIRST))
+    assert "20240129" in read and "20240128" not in read
+
+
+def test_days_are_indexed_once_and_again_after_a_backfill(spark, lake):
+    assert id_index.index_days(spark, lake, FIRST) == [20240128, 20240129]
+    assert id_index.index_days(spark, lake, FIRST) == []
+    assert id_index.index_days(spark, lake, datetime(2024, 1, 31, 2)) == [20240130]
+    hourly.run_silver(spark, lake, AS_OF)  # writes hours of the 30th
+    assert sorted(id_index.indexed_days(spark, lake)) == [20240128, 20240129]
+    ids = id_index.indexed_ids(spark, lake)
+    assert {r.event_id for r in ids.collect()} == {"a", "b", "c"}
+    tables.append_bronze(bronze_frame(spark, at("late", 28, 3)), lake)
+    hourly.run_silver(spark, lake, AS_OF, lookback_hours=None)
+    assert id_index.indexed_days(spark, lake) == {} and id_index.indexed_ids(spark, lake) is None
+    id_index.index_days(spark, lake, FIRST)
+    assert {r.event_id for r in id_index.indexed_ids(spark, lake).collect()} == {"a", "b", "c", "late"}
+
+
+def test_a_crash_before_the_snapshot_leaves_the_day_to_be_indexed(spark, lake, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            id_index.index_days(spark, lake, FIRST)
+    assert id_index.indexed_days(spark, lake) == {}
+    assert id_index.index_days(spark, lake, FIRST) == [20240128, 20240129]
+    assert id_index.indexed_ids(spark, lake).count() == 3
+
+
+def test_no_history_and_no_candidates(spark, tmp_path):
+    lake = Lake(str(tmp_path / "empty"))
+    tables.append_bronze(bronze_frame(spark, at("x", 30, 17)), lake)
+    assert hourly.run_silver(spark, lake, AS_OF, leave_out_settled=True) == 1
+    nothing = silver_frame(spark)
+    assert id_index.seen_before(nothing, lake, FIRST).collect() == []
+
+
+def branch(text):
+    """The lines of a plan above and at its index scan, from the join down."""
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line)
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    return lines[join : scan + 1]
+
+
+@pytest.mark.parametrize("partitions", [2, 8, 300])
+def test_history_is_neither_shuffled_nor_sorted(spark, lake, partitions):
+    id_index.index_days(spark, lake, FIRST, buckets=16)
+    window = silver_frame(spark, *[silver_row(n) for n in "abx"])
+    with options(spark, autoBroadcastJoinThreshold=-1, shuffle__partitions=partitions):
+        seen = id_index.seen_before(window, lake, FIRST)
+        assert {r.event_id for r in seen.collect()} == {"a", "b"}
+        side = branch(seen._jdf.queryExecution().simpleString())
+    assert "ShuffledHashJoin" in side[0] and "BuildRight" in side[0]
+    assert not any("Exchange" in line or "Sort" in line for line in side[1:])
+
+
+def test_what_is_shuffled_does_not_grow_with_history(spark, tmp_path):
+    """Ten times the history: the same rows are shuffled."""
+    written = []
+    for size, name in ((2_000, "small"), (20_000, "large")):
+        lake = Lake(str(tmp_path / name))
+        rows = spark.range(size).select(
+            F.concat(F.lit("id-"), F.col("id")).alias("event_id"), F.lit(None).cast("timestamp").alias("timestamp"),
+            *[F.lit("x").alias(c) for c in ("event_type", "user_id", "session_id", "page", "metadata")],
+            F.lit(2024).alias("year"), F.lit(1).alias("month"), (F.col("id") % 20 + 1).cast("int").alias("day"),
+            F.lit(3).alias("hour"),
+        )
+        tables.overwrite_silver(rows, lake, AS_OF, None)
+        id_index.index_days(spark, lake, FIRST, buckets=4)
+        window = silver_frame(spark, *[silver_row(f"id-{n}") for n in range(100)])
+        with options(spark, autoBroadcastJoinThreshold=-1, adaptive__enabled=False):
+            seen = id_index.seen_before(window, lake, FIRST)
+            assert seen.count() == 100
+            executed = seen._jdf.queryExecution().executedPlan()
+            seen.collect()
+            written.append(shuffled_rows(executed))
+    assert written[0] == written[1] > 0
+
+
+def shuffled_rows(executed):
+    """Rows all exchanges of a plan have written."""
+    total, stack = 0, [executed]
+    while stack:
+        node = stack.pop()
+        if "Exchange" in node.nodeName():
+            metric = node.metrics().get("shuffleRecordsWritten")
+            total += metric.get().value() if metric.isDefined() else 0
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return total

@@ -1,0 +1,242 @@
+"""Snapshots: a write shows whole or not at all, whatever step fails."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import bronze_frame, bronze_row, silver_frame, silver_row, tuples
+from tidemark.operators import metrics
+from tidemark.operators.summary import day_summary, from_summary
+from tidemark.plans import hourly
+from tidemark.sources import lake as tables
+from tidemark.sources import paths, snapshots
+from tidemark.sources.lake import Lake
+
+AS_OF = datetime(2024, 1, 30, 18)
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "lake"), snapshots=True)
+
+
+def at(hour, name=None, day=30):
+    return bronze_row(name or f"e{day}-{hour}", at=f"2024-01-{day}T{hour:02d}:00:00",
+                      timestamp=f"2024-01-{day}T{hour:02d}:05:00Z")
+
+
+def ids(rows):
+    return {r.event_id for r in rows.select("event_id").collect()}
+
+
+def stored(spark, lake):
+    """All that a reader sees."""
+    gold = {m: tuples(tables.read_gold(spark, lake, m)) for m in metrics.METRICS}
+    return ids(tables.read_silver(spark, lake)), gold
+
+
+@pytest.fixture
+def measured(spark, lake):
+    tables.append_bronze(bronze_frame(spark, *[at(h) for h in (9, 15, 16)]), lake)
+    hourly.run(spark, lake, AS_OF, lookback_hours=None)
+    return lake
+
+
+def test_window_is_replaced_and_other_hours_stay(spark, measured):
+    assert ids(tables.read_silver(spark, measured)) == {"e30-9", "e30-15", "e30-16"}
+    folders = snapshots.current(spark, measured.silver).parts
+    # One hour loses its rows, one gets more, the one before the window is not read again.
+    for hour in (9, 15):
+        [folder] = paths.hour_folders(spark, measured.bronze)[(2024, 1, 30, hour)]
+        paths.delete(spark, folder)
+    tables.append_bronze(bronze_frame(spark, at(16, "late"), at(18)), measured)
+    assert hourly.run_silver(spark, measured, AS_OF) == 3
+    assert ids(tables.read_silver(spark, measured)) == {"e30-9", "e30-16", "late", "e30-18"}
+    again = snapshots.current(spark, measured.silver).parts
+    assert again["2024_1_30_9"] == folders["2024_1_30_9"] and "2024_1_30_15" not in again
+    first = datetime(2024, 1, 30, 16)
+    assert ids(tables.read_silver(spark, measured, first=first)) == {"e30-16", "late", "e30-18"}
+    assert ids(tables.read_silver(spark, measured, first=datetime(2024, 2, 1))) == set()
+
+
+class Crash(Exception):
+    pass
+
+
+def crash(*_, **__):
+    raise Crash
+
+
+@pytest.mark.parametrize("step", ["rows", "before the pointer", "before the move", "after the move"])
+@pytest.mark.parametrize("table", ["silver", "gold"])
+def test_a_crash_between_any_two_steps_shows_old_or_new_rows(
+    spark, measured, monkeypatch, step, table
+):
+    old = stored(spark, measured)
+    tables.append_bronze(bronze_frame(spark, at(17)), measured)
+    if table == "gold":
+        hourly.run_silver(spark, measured, AS_OF)
+        old = stored(spark, measured)
+    run = hourly.run_silver if table == "silver" else hourly.run_gold
+    with monkeypatch.context() as patch:
+        if step == "rows" and table == "silver":
+            failing = F.when(F.col("event_id") == "e30-17", F.raise_error(F.lit("lost")))
+            refine = hourly.refine
+            patch.setattr(
+                hourly, "refine",
+                lambda *a, **k: refine(*a, **k).withColumn("page", failing.otherwise("x")),
+            )
+        elif step == "rows":
+            finish = hourly.from_summary
+            lost = F.raise_error(F.lit("lost")).cast("bigint")
+            patch.setattr(
+                hourly, "from_summary",
+                lambda s: finish(s) | {"top_pages": finish(s)["top_pages"].withColumn("rn", lost)},
+            )
+        elif step == "before the pointer":
+            patch.setattr(snapshots, "publish", crash)
+        elif step == "before the move":
+            resolve = paths._resolve
+
+            class Files:
+                def __init__(self, files):
+                    self.files = files
+
+                def __getattr__(self, name):
+                    return crash if name == "makeQualified" else getattr(self.files, name)
+
+            patch.setattr(paths, "_resolve", lambda s, p: (Files(resolve(s, p)[0]), resolve(s, p)[1]))
+        else:
+            write = paths.write_new
+            patch.setattr(paths, "write_new", lambda *a: (write(*a), crash()))
+        with pytest.raises(Exception):
+            run(spark, measured, AS_OF)
+    if step == "after the move":
+        silver, gold = stored(spark, measured)
+        assert table == "gold" or "e30-17" in silver
+        assert table == "silver" or gold["events"] == [("page_view", 4)]
+    else:
+        assert stored(spark, measured) == old
+    run(spark, measured, AS_OF)
+    assert "e30-17" in stored(spark, measured)[0]
+
+
+def test_all_metrics_change_at_once(spark, measured):
+    """A reader between the writes of two metrics sees the run before."""
+    number = snapshots.current(spark, f"{measured.root}/gold").number
+    seen = []
+    finish = metrics.METRICS["dau"]
+    rows = {
+        "dau": finish(tables.read_silver(spark, measured), AS_OF),
+        "events": metrics.events(silver_frame(spark, silver_row("x", event_type="signup")), AS_OF),
+    }
+
+    class Watched(dict):
+        def items(self):
+            for item in super().items():
+                yield item
+                seen.append(tuples(tables.read_gold(spark, measured, "events")))
+
+    tables.overwrite_gold_metrics(Watched(rows), measured)
+    assert seen[:2] == [[("page_view", 3)], [("page_view", 3)]]
+    assert tuples(tables.read_gold(spark, measured, "events")) == [("signup", 1)]
+    assert snapshots.current(spark, f"{measured.root}/gold").number == number + 1
+
+
+def test_writers_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "table")
+    snapshots.publish(spark, base, lambda parts: parts | {"a": "1"})
+    current, other = snapshots.current, []
+
+    def late(spark, base):
+        found = current(spark, base)
+        if not other:  # another writer takes the number after this one has looked
+            other.append(1)
+            snapshots.publish(spark, base, lambda parts: parts | {"b": "2"})
+        return found
+
+    monkeypatch.setattr(snapshots, "current", late)
+    snapshots.publish(spark, base, lambda parts: parts | {"c": "3"})
+    assert current(spark, base) == snapshots.Snapshot(3, {"a": "1", "b": "2", "c": "3"})
+
+
+def test_half_a_pointer_is_none(spark, measured):
+    old = stored(spark, measured)
+    number = snapshots.current(spark, measured.silver).number + 1
+    with open(f"{measured.silver}/snapshots/.{number:012d}.json-dead", "w") as file:
+        file.write('{"parts": {')
+    assert stored(spark, measured) == old
+
+
+def test_vacuum_keeps_what_can_be_read(spark, measured):
+    before = tables.read_silver(spark, measured)
+    tables.append_bronze(bronze_frame(spark, at(16, "late")), measured)
+    for _ in range(3):
+        hourly.run_silver(spark, measured, AS_OF)
+    now = ids(tables.read_silver(spark, measured))
+    assert snapshots.vacuum(spark, measured.silver) == []  # all of them are young
+    assert ids(before) == {"e30-9", "e30-15", "e30-16"}
+    gone = snapshots.vacuum(spark, measured.silver, keep=1, older_than_hours=0)
+    assert len(gone) == 2  # the first run's hour before the window still counts
+    assert ids(tables.read_silver(spark, measured)) == now
+    assert snapshots._numbers(spark, measured.silver) == [4]
+    with pytest.raises(ValueError):
+        snapshots.vacuum(spark, measured.silver, keep=0)
+
+
+def test_seed_and_missing_tables(spark, lake):
+    for read in (tables.read_silver, lambda s, t: tables.read_gold(s, t, "dau")):
+        with pytest.raises(FileNotFoundError):
+            read(spark, lake)
+    tables.seed(spark, lake)
+    tables.seed(spark, lake)
+    assert stored(spark, lake) == (set(), {m: [] for m in metrics.METRICS})
+    assert hourly.run(spark, lake, AS_OF)["silver"] == 0
+
+
+def test_partitions_that_name_no_hour(spark, lake):
+    odd = [bronze_row("a", month=13), bronze_row("b", hour=None), at(16, "c")]
+    tables.append_bronze(bronze_frame(spark, *odd), lake)
+    hourly.run_silver(spark, lake, AS_OF, lookback_hours=None)
+    assert ids(tables.read_silver(spark, lake)) == {"a", "b", "c"}
+    hourly.run_silver(spark, lake, AS_OF)
+    assert ids(tables.read_silver(spark, lake)) == {"a", "b", "c"}
+
+
+# --- The summary that the metrics are finished from --------------------------------------------
+
+
+def day_of_everything():
+    kinds = ["page_view", "search", "signup", "purchase", "button_click"]
+    metadata = ['{"query": "lamp"}', '{"query": ""}', "{}", '{"query": "rug"}', None]
+    rows = [
+        silver_row(
+            str(n), event_type=kinds[n % 5], session_id=f"s{n % 23}", user_id=f"u{n % 17}",
+            page=None if n % 31 == 0 else f"/p{n % 7}", metadata=metadata[n // 5 % 5],
+            time=None if n % 29 == 0 else f"2024-01-30T{n % 24:02d}:{n % 60:02d}:00",
+        )
+        for n in range(700)
+    ]
+    return rows + [silver_row("other day", time="2024-01-29T10:00:00")]
+
+
+def test_summary_gives_the_same_metrics(spark):
+    for rows in (day_of_everything(), []):
+        silver = silver_frame(spark, *rows)
+        got = from_summary(day_summary(silver, AS_OF))
+        assert list(got) == sorted(metrics.METRICS)
+        for metric, compute in metrics.METRICS.items():
+            assert tuples(got[metric]) == tuples(compute(silver, AS_OF)), metric
+
+
+def test_gold_run_reads_silver_once(spark, measured, monkeypatch):
+    reads = []
+    read = tables._snapshot_silver
+    monkeypatch.setattr(tables, "_snapshot_silver", lambda *a: reads.append(1) or read(*a))
+    hourly.run_gold(spark, measured, AS_OF)
+    assert reads == [1]
+    text = day_summary(tables.read_silver(spark, measured), AS_OF)._jdf.queryExecution()
+    text = text.executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    assert "Expand" not in text and "Python" not in text

@@ -72,7 +72,7 @@ def searches(
     return _ranked(_searches(silver, as_of), "query", "count", limit)
 
 
-def _rate(total: Column, converted: Column) -> list[Column]:
+def rate(total: Column, converted: Column) -> list[Column]:
     return [
         converted.alias("converted_sessions"),
         total.alias("total_signup_sessions"),
@@ -102,7 +102,7 @@ def conversion(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
         F.count_if(F.col("signups") > 0).alias("total"),
         F.count_if(F.col("purchased_at") > F.col("signed_up_at")).alias("converted"),
     )
-    return totals.select(*_rate(F.col("total"), F.col("converted")))
+    return totals.select(*rate(F.col("total"), F.col("converted")))
 
 
 def conversion_by_join(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -123,7 +123,7 @@ def conversion_by_join(silver: DataFrame, as_of: datetime | None = None) -> Data
         F.count("*").alias("total"),
         F.count_if(F.col("purchased_at") > F.col("signed_up_at")).alias("converted"),
     )
-    return totals.select(*_rate(F.col("total"), F.col("converted")))
+    return totals.select(*rate(F.col("total"), F.col("converted")))
 
 
 METRICS = {

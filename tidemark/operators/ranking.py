@@ -30,7 +30,13 @@ def _cuts_before(most: int) -> Column:
     )
 
 
-def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None) -> DataFrame:
+def rank_all(
+    counts: DataFrame,
+    key: str,
+    value: str,
+    buckets: int | None = None,
+    rows: int | None = None,
+) -> DataFrame:
     """Every row with its row number by `value` descending, then `key`; `key` is unique.
 
     A window over the whole table would sort it in one task. Here the order is cut into
@@ -38,15 +44,16 @@ def rank_all(counts: DataFrame, key: str, value: str, buckets: int | None = None
     buckets before it are added. The cuts come from rows whose key hash a modulus divides:
     some 32 a bucket, spread evenly over the order, picked where they lie, and the same on
     every recomputation. Bucket n becomes partition n, so the rows come out, and are written to
-    files, in the order of their number.
+    files, in the order of their number. `rows` says how many rows there are, about, where that is
+    known: else they are counted first.
     """
     spark = counts.sparkSession
     if buckets is None:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(least, -(-counts.count() // ROWS_PER_BUCKET))
+        buckets = max(least, -(-(counts.count() if rows is None else rows) // ROWS_PER_BUCKET))
 
     ranked = counts.withColumn("place", F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
-    total = counts.agg(F.count("*")).scalar()
+    total = counts.agg(F.count("*")).scalar() if rows is None else F.lit(rows)
     modulus = F.greatest(F.lit(1), F.floor(total / (buckets * SAMPLE_PER_BUCKET)))
     sample = ranked.where(F.pmod(F.xxhash64(key), modulus) == 0)
     places = sample.agg(F.sort_array(F.collect_list("place")).alias("places"))

@@ -10,20 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import partition_columns
-from tidemark.schema import REQUIRED_FIELDS
+from tidemark.schema import PARTITION_COLUMNS, REQUIRED_FIELDS
 
-# Pages and search terms, in the order of the numbers that select them.
-PAGES = [
-    "/start",
-    "/catalogue/lamps",
-    "/catalogue/rugs",
-    "/stories",
-    "/find",
-    "/basket",
-    "/payment",
-    "/profile",
-    "/help/returns",
-]
+# Search terms, in the order of the numbers that select them.
 SEARCH_TERMS = ["oak table", "", "reading lamp", "rug 2x3", "wool blanket", "mirror", "wall clock"]
 
 
@@ -49,18 +38,33 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     time_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     query = F.concat(F.lit('{"query": "'), _pick(SEARCH_TERMS, k % 7), F.lit('"}'))
     user = F.col("user_id").cast("string")
+    # A page is named after the source's own fields.
+    page = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), (k % 9).cast("string"))
     return events.select(
         n.cast("string").alias("event_id"),
         event_type.alias("event_type"),
         F.when(n % 101 == 0, "not-a-time").otherwise(time_text).alias("timestamp"),
         F.when(n % 97 == 0, "").otherwise(user).alias("user_id"),
         F.concat(user, F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
-        F.when(n % 89 != 0, _pick(PAGES, k % 9)).alias("page"),
+        F.when(n % 89 != 0, page).alias("page"),
         F.when(event_type == "search", query).otherwise("{}").alias("metadata"),
         *partition_columns(F.col("ts")),
     )
 
 
+def resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh event without copies once more, as sent again on 2024-01-30 after 17:00."""
+    n = F.col("event_id").cast("long")
+    minute = F.lpad((n % 60).cast("string"), 2, "0")
+    again = F.concat(F.lit("2024-01-30T17:"), minute, F.lit(":00.000000Z"))
+    rows = bronze(spark, sf_dir).where((n % 7 == 0) & (n % 10 != 0))
+    at = F.lit("2024-01-30 17:00:00").cast("timestamp")
+    return rows.withColumn("timestamp", again).select(
+        *[c for c in rows.columns if c not in PARTITION_COLUMNS],
+        *partition_columns(at),
+    )
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON text, column `raw`."""
     metadata = F.try_parse_json("metadata").alias("metadata")

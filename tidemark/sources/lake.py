@@ -18,7 +18,7 @@ from tidemark.functions.times import (
     partition_columns,
 )
 from tidemark.schema import BRONZE, GOLD, PARTITION_COLUMNS, QUARANTINE, SILVER
-from tidemark.sources import paths
+from tidemark.sources import paths, snapshots
 
 
 @dataclass(frozen=True)
@@ -27,11 +27,15 @@ class Lake:
 
     Both forms can be read; use one of them per lake. Writes keep the catalog entries in
     `database` up to date, if it is given and `register_tables` has made them.
+
+    With `snapshots` silver and gold are tables of immutable folders behind one pointer each
+    (`sources/snapshots.py`): a run shows all of its hours, or all of its metrics, at once.
     """
 
     root: str
     padded: bool = False
     database: str | None = None
+    snapshots: bool = False
 
     @property
     def bronze(self) -> str:
@@ -91,9 +95,51 @@ def read_silver(
     declared_only: bool = False,
     first: datetime | None = None,
 ) -> DataFrame:
+    if lake.snapshots:
+        rows = _snapshot_silver(spark, lake, first)
+        return rows.where(in_declared_ranges()) if declared_only else rows
     return _by_hour_table(spark, lake.silver, SILVER, declared_only, first)
 
 
+def _part(hour: tuple) -> str:
+    """The name an hour has in a snapshot; numbers that are missing stand as `null`."""
+    return "_".join("null" if n is None else str(n) for n in hour)
+
+
+def _hour(part: str) -> tuple:
+    return tuple(None if n == "null" else int(n) for n in part.split("_"))
+
+
+def _published(spark: SparkSession, base: str) -> dict[str, str]:
+    snapshot = snapshots.current(spark, base)
+    if not snapshot.number:
+        raise FileNotFoundError(f"{base} has no snapshot; `seed` makes an empty one")
+    return snapshot.parts
+
+
+def _snapshot_silver(spark: SparkSession, lake: Lake, first: datetime | None) -> DataFrame:
+    """The hours the current snapshot names, each in the folder of the run that wrote it."""
+    parts = _published(spark, lake.silver)
+    from_hour = first and as_utc(first)
+    folders = [
+        snapshots.folder(lake.silver, folder)
+        for part, folder in parts.items()
+        if first is None or paths.in_window(_hour(part), from_hour)
+    ]
+    if not folders:
+        return spark.createDataFrame([], SILVER)
+    stored = T.StructType([*SILVER.fields, T.StructField("run", T.StringType())])
+    reader = spark.read.schema(stored).option("basePath", snapshots.folder(lake.silver, ""))
+    return reader.parquet(*folders).select(SILVER.fieldNames())
+
+
+def silver_hours(spark: SparkSession, lake: Lake) -> set[tuple]:
+    """(year, month, day, hour) of the hours silver holds; None where a name has no number."""
+    if lake.snapshots:
+        return {_hour(part) for part in snapshots.current(spark, lake.silver).parts}
+    return set(paths.hour_folders(spark, lake.silver))
+
+
 def lookback_partitions(
     spark: SparkSession, as_of: datetime | None = None, hours: int = 3
 ) -> DataFrame:
@@ -126,6 +172,9 @@ def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def read_gold(spark: SparkSession, lake: Lake, metric: str) -> DataFrame:
+    if lake.snapshots:
+        base = f"{lake.root}/gold"
+        return _read(spark, snapshots.folder(base, _published(spark, base)[metric]), GOLD[metric])
     return _read(spark, lake.gold(metric), GOLD[metric])
 
 
@@ -167,15 +216,24 @@ def append_bronze(events: DataFrame, lake: Lake) -> int:
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(lake.bronze)
     )
-    hours = {tuple(int(n) for n in hour) for hour in written.get["hours"] if None not in hour}
+    found = map(tuple, written.get["hours"])  # a row takes `in` for a question about its names
+    hours = {tuple(int(n) for n in hour) for hour in found if None not in hour}
     _update_catalog(events.sparkSession, lake, "bronze", hours, set())
     return written.get["rows"]
 
 
 def _update_catalog(
-    spark: SparkSession, lake: Lake, name: str, written: set[tuple], removed: set[tuple]
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    written: set[tuple],
+    removed: set[tuple],
+    at: dict[tuple, str] | None = None,
 ) -> None:
-    """Make new hours of a table visible in the catalog and forget removed ones."""
+    """Make new hours of a table visible in the catalog and forget removed ones.
+
+    `at` says where hours lie that have moved.
+    """
     if lake.database is None or not spark.catalog.tableExists(f"{lake.database}.{name}"):
         return
     table = f"{lake.database}.{name}"
@@ -184,21 +242,25 @@ def _update_catalog(
         return ", ".join(f"{c} = {n}" for c, n in zip(PARTITION_COLUMNS, hour))
 
     def location(hour: tuple) -> str:
+        if at:
+            return escaped(at[hour])
         widths = (4, 2, 2, 2) if lake.padded else (1, 1, 1, 1)
         parts = [f"{c}={n:0{w}d}" for c, n, w in zip(PARTITION_COLUMNS, hour, widths)]
-        return _escaped("/".join([f"{lake.root}/{name}", *parts]))
+        return escaped("/".join([f"{lake.root}/{name}", *parts]))
 
     added = [f"PARTITION ({named(h)}) LOCATION {location(h)}" for h in sorted(written)]
     for start in range(0, len(added), 1000):
         some = " ".join(added[start : start + 1000])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+    for hour in sorted(written) if at else []:  # those that were known lie elsewhere now
+        spark.sql(f"ALTER TABLE {table} PARTITION ({named(hour)}) SET LOCATION {location(hour)}")
     gone = [f"PARTITION ({named(h)})" for h in sorted(h for h in removed if None not in h)]
     if gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
     spark.catalog.refreshTable(table)
 
 
-def _escaped(text: str) -> str:
+def escaped(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -226,6 +288,8 @@ def overwrite_silver(
     """
     spark = rows.sparkSession
     first = None if lookback_hours is None else lookback_cutoff(as_of, lookback_hours)
+    if lake.snapshots:
+        return _publish_silver(rows, lake, first)
     before = paths.hour_folders(spark, lake.silver, first)
 
     written = Observation()
@@ -251,6 +315,64 @@ def overwrite_silver(
     return written.get["rows"]
 
 
+def _publish_silver(rows: DataFrame, lake: Lake, first: datetime | None) -> int:
+    """The same as a snapshot: the hours of the window go to a new folder, others stay as named."""
+    spark = rows.sparkSession
+    written = Observation()
+    run = snapshots.new_folder()
+    target = snapshots.folder(lake.silver, run)
+    (
+        _by_hour(rows)
+        .observe(written, F.count("*").alias("rows"))
+        .transform(_partition_names, lake)
+        .write.partitionBy(*PARTITION_COLUMNS)
+        .parquet(target)
+    )
+    made = {
+        hour: f"{run}/" + folder.partition(f"/{run}/")[2]
+        for hour, [folder] in paths.hour_folders(spark, target).items()
+    }
+    removed: set[tuple] = set()
+
+    def change(parts: dict[str, str]) -> dict[str, str]:
+        hours = {_hour(part): part for part in parts}
+        replaced = {h for h in hours if first is None or paths.in_window(h, first, real=True)}
+        removed.update(replaced - made.keys())
+        kept = {part: parts[part] for h, part in hours.items() if h not in replaced}
+        return kept | {_part(hour): folder for hour, folder in made.items()}
+
+    snapshots.publish(spark, lake.silver, change)
+    at = {h: snapshots.folder(lake.silver, f) for h, f in made.items() if None not in h}
+    _update_catalog(spark, lake, "silver", set(at), removed, at)
+    return written.get["rows"]
+
+
+def overwrite_gold_metrics(metrics: dict[str, DataFrame], lake: Lake) -> dict[str, int]:
+    """Replace several metrics; rows by metric. With snapshots they change together, at once."""
+    if not lake.snapshots:
+        return {metric: overwrite_gold(rows, lake, metric) for metric, rows in metrics.items()}
+    spark = next(iter(metrics.values())).sparkSession
+    base, run = f"{lake.root}/gold", snapshots.new_folder()
+    counts = {}
+    for metric, rows in metrics.items():
+        written = Observation()
+        (
+            rows.select(GOLD[metric].fieldNames())
+            .observe(written, F.count("*").alias("rows"))
+            .write.parquet(snapshots.folder(base, f"{run}/{metric}"))
+        )
+        counts[metric] = written.get["rows"]
+    made = {metric: f"{run}/{metric}" for metric in metrics}
+    snapshots.publish(spark, base, lambda parts: parts | made)
+    for metric, folder in made.items():
+        table = f"{lake.database}.gold_{metric}"
+        if lake.database and spark.catalog.tableExists(table):
+            at = escaped(snapshots.folder(base, folder))
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {at}")
+            spark.catalog.refreshTable(table)
+    return counts
+
+
 def overwrite_gold(rows: DataFrame, lake: Lake, metric: str) -> int:
     """Replace a whole metric; returns the number of rows written.
 
@@ -258,6 +380,8 @@ def overwrite_gold(rows: DataFrame, lake: Lake, metric: str) -> int:
     driver die between the two renames, reads fail until the next run instead of giving
     an empty or half metric.
     """
+    if lake.snapshots:
+        return overwrite_gold_metrics({metric: rows}, lake)[metric]
     spark = rows.sparkSession
     written = Observation()
     staged = f"{lake.root}/staged/{metric}-{uuid.uuid4().hex}"
@@ -277,6 +401,15 @@ def seed(spark: SparkSession, lake: Lake) -> None:
     """Create the folders that do not exist yet, each with a zero-row file for any reader."""
     tables = {lake.bronze: BRONZE, lake.silver: SILVER, lake.quarantine: QUARANTINE}
     whole = {lake.gold(metric): schema for metric, schema in GOLD.items()}
+    if lake.snapshots:
+        del tables[lake.silver]
+        whole = {}
+        if not snapshots.current(spark, lake.silver).number:
+            snapshots.publish(spark, lake.silver, lambda parts: parts)
+        missing = GOLD.keys() - snapshots.current(spark, f"{lake.root}/gold").parts.keys()
+        empty = {m: spark.createDataFrame([], GOLD[m]) for m in sorted(missing)}
+        if empty:
+            overwrite_gold_metrics(empty, lake)
     for path, schema in (tables | whole).items():
         if not paths.exists(spark, path):
             folders = (*PARTITION_COLUMNS, "query", "batch")
@@ -284,16 +417,28 @@ def seed(spark: SparkSession, lake: Lake) -> None:
             spark.createDataFrame([], T.StructType(stored)).write.parquet(path)
 
 
+def _known_hours(spark: SparkSession, table: str) -> set[tuple]:
+    return {
+        tuple(int(part.partition("=")[2]) for part in row.partition.split("/"))
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    }
+
+
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
     """Create or update the catalog entries of all tables over their folders.
 
     The tables are external. Writes through a `Lake` that names the database keep their
     hours up to date; after other writes call this again.
     """
-    at = _escaped(f"{lake.root}/catalog")
+    at = escaped(f"{lake.root}/catalog")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {at}")
     tables = {"bronze": (lake.bronze, BRONZE), "silver": (lake.silver, SILVER)}
-    tables |= {f"gold_{m}": (lake.gold(m), schema) for m, schema in GOLD.items()}
+    if lake.snapshots:
+        base = f"{lake.root}/gold"
+        gold = {m: snapshots.folder(base, f) for m, f in _published(spark, base).items()}
+    else:
+        gold = {m: lake.gold(m) for m in GOLD}
+    tables |= {f"gold_{m}": (path, GOLD[m]) for m, path in gold.items()}
     for name, (path, schema) in tables.items():
         table = f"{database}.{name}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -301,17 +446,22 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         partitioned = f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})" if by_hour else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitioned}"
-            f" LOCATION {_escaped(path)}"
+            f" LOCATION {escaped(path)}"
         )
-        if by_hour and not lake.padded:
+        if lake.snapshots and name == "silver":
+            parts = _published(spark, lake.silver)
+            found = {_hour(p): snapshots.folder(lake.silver, f) for p, f in parts.items()}
+            written = {hour: at for hour, at in found.items() if None not in hour}
+            gone = _known_hours(spark, table) - found.keys()
+            named = replace(lake, database=database)
+            _update_catalog(spark, named, name, set(written), gone, written)
+        elif lake.snapshots and not by_hour:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {escaped(path)}")
+        elif by_hour and not lake.padded:
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
         elif by_hour:  # a repair would enter 07 and 7 as two different partitions
             found = set(paths.hour_folders(spark, path))
-            known = spark.sql(f"SHOW PARTITIONS {table}").collect()
-            named = {
-                tuple(int(part.partition("=")[2]) for part in row.partition.split("/"))
-                for row in known
-            }
+            named = _known_hours(spark, table)
             written = {hour for hour in found if None not in hour}
             _update_catalog(spark, replace(lake, database=database), name, written, named - found)
         spark.catalog.refreshTable(table)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -23,16 +25,73 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    files, folder = _resolve(spark, path)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return [s.getPath().getName() for s in found if s.isFile()]
+
+
+def folder_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of the folders in a folder, and when each last changed, in seconds since 1970."""
+    files, folder = _resolve(spark, path)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return {
+        s.getPath().getName(): s.getModificationTime() / 1000 for s in found if s.isDirectory()
+    }
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, hadoop_path = _resolve(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """A file that appears with its whole content; False if the name is taken.
+
+    The content is written beside it and moved, which does not replace an existing file.
+    """
+    files, target = _resolve(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(
+        target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}"
+    )
+    stream = files.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    no_options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(files.makeQualified(beside), files.makeQualified(target), no_options)
+    except Py4JJavaError as error:
+        if not files.exists(target):
+            raise
+        files.delete(beside, False)
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
 def _number(name: str) -> int | None:
     """The number a partition folder is named after, plain or padded; None if it names none."""
     value = name.partition("=")[2]
     return int(value) if value.lstrip("-").isdigit() else None
 
 
-def _in_window(hour: tuple, first: datetime) -> bool:
-    """Whether the numbers, as far as given, can still name an hour from `first` on."""
+def in_window(hour: tuple, first: datetime, real: bool = False) -> bool:
+    """Whether the numbers, as far as given, can still name an hour from `first` on.
+
+    With `real` they must name an hour that exists.
+    """
     from_hour = (first.year, first.month, first.day, first.hour)
-    return None not in hour and hour >= from_hour[: len(hour)]
+    return None not in hour and hour >= from_hour[: len(hour)] and (not real or _is_hour(hour))
 
 
 def replace(spark: SparkSession, staged: str, target: str) -> None:
@@ -66,7 +125,7 @@ def hour_folders(
                 name = status.getPath().getName()
                 if status.isDirectory() and "=" in name:
                     found = (*hour, _number(name))
-                    if first is None or _in_window(found, first):
+                    if first is None or in_window(found, first):
                         below.setdefault(found, []).append(status.getPath())
         level = below
     found = {hour: [f.toString() for f in folders] for hour, folders in level.items()}
