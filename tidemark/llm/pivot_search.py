@@ -89,8 +89,8 @@ def _kind(numbers: np.ndarray):
 
 
 def _matrix(vectors: list[bytes], size: int) -> np.ndarray:
-    if not size:
-        return np.zeros((len(vectors), 0))
+    if not size or not vectors:
+        return np.zeros((len(vectors), size))
     return np.stack([np.frombuffer(v, _KINDS[len(v) // size]) for v in vectors]).astype(np.float64)
 
 
