@@ -310,8 +310,9 @@ def _best_of_groups(blocks: DataFrame, k: int) -> DataFrame:
     totals = {r.kind: r.rows for r in blocks.groupBy("kind").agg(F.sum("rows").alias("rows")).collect()}
     asked = max(1, -(-totals.get(1, 0) // GROUP_QUERIES))
     held = max(1, -(-totals.get(0, 0) // GROUP_CANDIDATES))
-    of_queries = F.pmod(F.xxhash64("block"), F.lit(asked))
-    of_candidates = F.pmod(F.xxhash64("block"), F.lit(held))
+    # Both sides' keys must be of one type to meet.
+    of_queries = F.pmod(F.xxhash64("block"), F.lit(asked)).cast("int")
+    of_candidates = F.pmod(F.xxhash64("block"), F.lit(held)).cast("int")
     every_left = F.explode(F.sequence(F.lit(0), F.lit(held - 1))).alias("right")
     every_right = F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("left")
     left = blocks.where("kind = 1").select("*", of_queries.alias("left"), every_left)
