@@ -122,6 +122,17 @@ def test_classifier(spark):
     assert kept.count() == classifier.score(documents, model).where("predicted = 1").count()
 
 
+def test_sample_reaches_from_start_to_end(spark):
+    texts = ["a" * 2000, "é" * 2001, "".join(chr(0x4E00 + i) for i in range(9000)), "", "x" * 1999]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    got = [r.t for r in rows.orderBy("i").select(classifier.spread(F.col("t"), 2000).alias("t")).collect()]
+    assert got[0] == texts[0] and got[1] == "é" * 2000 and got[3:] == texts[3:]
+    assert got[2] == texts[2][:1000] + texts[2][-1000:]
+    rows = rows.select(classifier.spread(F.col("t"), 4000).alias("t")).where("length(t) > 3000")
+    starts = [0, 2666, 5333, 8000]
+    assert [r.t for r in rows.collect()] == ["".join(texts[2][s : s + 1000] for s in starts)]
+
+
 def test_classifier_edges(spark):
     documents, labels = good_and_bad(spark, 60)
     model = classifier.fit(documents, labels)

@@ -6,8 +6,9 @@ sizes G and B come the normalised differences (B - G) / bytes and (B - G) / (B +
 ratio G / bytes that tells how much a difference means. A logistic model, fitted to labelled
 texts the dictionaries have not seen, turns them into the probability of the good label.
 
-The fit takes a bounded sample: `Sample` limits the rows per class and the characters per row.
-Everything else, all scoring, covers every row and whole texts.
+The fit takes a bounded sample: `Sample` limits the rows per class and the characters per row; of
+a longer text it takes pieces spread evenly from its first character to its last. Everything
+else, all scoring, covers every row and whole texts.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.texts import map_texts
 
+# Characters of a piece of a text that is too long for the sample.
+PIECE = 1000
+
 
 @dataclass(frozen=True)
 class Sample:
@@ -46,6 +50,19 @@ class Model:
     level: int
 
 
+def spread(text: Column, most: int) -> Column:
+    """A text of up to `most` characters; of a longer one pieces from its start to its end."""
+    count = max(2, most // PIECE)
+    last = F.char_length(text) - PIECE
+
+    def piece(number: Column) -> Column:
+        start = F.floor(number * last / (count - 1)).cast("int") + 1
+        return F.substr(text, start, F.lit(PIECE))
+
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), piece)
+    return F.when(F.char_length(text) <= most, text).otherwise(F.array_join(pieces, ""))
+
+
 def labelled_sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -80,7 +97,7 @@ def labelled_sample(
     # At most four times rows_per_class ids.
     rows = (
         texts.join(F.broadcast(wanted), "i")
-        .select("i", "y", F.substring("t", 1, sample.characters).alias("t"))
+        .select("i", "y", spread(F.col("t"), sample.characters).alias("t"))
         .orderBy(F.xxhash64("i"), "i", "t")
     )
     found: dict[int, list[str]] = {0: [], 1: []}
