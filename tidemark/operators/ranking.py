@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 SAMPLE_PER_BUCKET = 32
 # Rows a bucket should hold at most, on average.
 ROWS_PER_BUCKET = 1_000_000
+# Bytes of a row in the planner's estimate, and the buckets it may lead to: it can be far too high.
+ROW_BYTES = 32
+MOST_BUCKETS = 20_000
 
 
 def top(counts: DataFrame, key: str, value: str, limit: int) -> DataFrame:
@@ -18,6 +21,13 @@ def top(counts: DataFrame, key: str, value: str, limit: int) -> DataFrame:
     return largest.select(key, value, F.row_number().over(order).cast("bigint").alias("rn"))
 
 
+def _estimated_rows(counts: DataFrame) -> int:
+    """Rows by the planner's size of the table, which for an aggregate is that of its input."""
+    plan = counts._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    return size // ROW_BYTES
+
+
 def _cuts_before(most: int) -> Column:
     """How many of the sorted `cuts`, at most `most`, lie before `place`, by halving steps."""
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
@@ -45,15 +55,17 @@ def rank_all(
     some 32 a bucket, spread evenly over the order, picked where they lie, and the same on
     every recomputation. Bucket n becomes partition n, so the rows come out, and are written to
     files, in the order of their number. `rows` says how many rows there are, about, where that is
-    known: else they are counted first.
+    known: else the planner's estimate is taken. It only decides the number of buckets.
     """
     spark = counts.sparkSession
     if buckets is None:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(least, -(-(counts.count() if rows is None else rows) // ROWS_PER_BUCKET))
+        about = _estimated_rows(counts) if rows is None else rows
+        buckets = max(least, min(MOST_BUCKETS, -(-about // ROWS_PER_BUCKET)))
 
     ranked = counts.withColumn("place", F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
-    total = counts.agg(F.count("*")).scalar() if rows is None else F.lit(rows)
+    # Counting a column that the other steps need too, all of them share one aggregation.
+    total = counts.agg(F.count(value)).scalar() if rows is None else F.lit(rows)
     modulus = F.greatest(F.lit(1), F.floor(total / (buckets * SAMPLE_PER_BUCKET)))
     sample = ranked.where(F.pmod(F.xxhash64(key), modulus) == 0)
     places = sample.agg(F.sort_array(F.collect_list("place")).alias("places"))

@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from tidemark.functions.times import as_utc, lookback_cutoff
+from tidemark.functions.times import as_utc, in_lookback, lookback_cutoff
 from tidemark.operators.refine import refine
+from tidemark.operators.sketches import user_sketches
 from tidemark.operators.summary import SUMMARY, day_summary, from_summary
 from tidemark.session import scratch_path
 from tidemark.sources import lake as tables
@@ -46,6 +47,19 @@ def run_silver(
     return written
 
 
+def run_sketches(
+    spark: SparkSession,
+    lake: Lake,
+    as_of: datetime | None = None,
+    lookback_hours: int | None = LOOKBACK_HOURS,
+) -> int:
+    """Sketch the users of the window's hours again, after silver; returns the sketches written."""
+    first = None if lookback_hours is None else lookback_cutoff(as_utc(as_of), lookback_hours)
+    silver = tables.read_silver(spark, lake, first=first)
+    window = silver if first is None else silver.where(in_lookback(as_of, lookback_hours))
+    return tables.overwrite_sketches(user_sketches(window), lake, first)
+
+
 def run_gold(spark: SparkSession, lake: Lake, as_of: datetime | None = None) -> dict[str, int]:
     """Compute every metric from the stored silver table and replace it; rows per metric.
 

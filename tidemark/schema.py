@@ -28,6 +28,14 @@ SILVER = T.StructType(
     ]
 )
 
+SKETCHES = T.StructType(
+    [
+        T.StructField("hour_start", T.TimestampType()),
+        T.StructField("users", T.BinaryType()),
+        *_partitions,
+    ]
+)
+
 QUARANTINE = T.StructType(
     [
         T.StructField("raw", T.StringType()),

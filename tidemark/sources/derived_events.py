@@ -21,6 +21,10 @@ def _pick(values: list[str], number: Column) -> Column:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(spark, sf_dir).drop("seconds_late")
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, k = F.col("event_id"), F.col("k")
     copies = F.when(n % 10 == 0, F.array(F.lit(0), F.lit(60))).otherwise(F.array(F.lit(0)))
     events = (
@@ -49,25 +53,60 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 89 != 0, page).alias("page"),
         F.when(event_type == "search", query).otherwise("{}").alias("metadata"),
         *partition_columns(F.col("ts")),
+        F.col("late").alias("seconds_late"),
     )
 
 
-def resent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh event without copies once more, as sent again on 2024-01-30 after 17:00."""
+def resent(spark: SparkSession, sf_dir: str, hour: int = 17) -> DataFrame:
+    """Every seventh event without copies once more, as sent again on 2024-01-30 in that hour."""
     n = F.col("event_id").cast("long")
     minute = F.lpad((n % 60).cast("string"), 2, "0")
-    again = F.concat(F.lit("2024-01-30T17:"), minute, F.lit(":00.000000Z"))
+    again = F.concat(F.lit(f"2024-01-30T{hour:02d}:"), minute, F.lit(":00.000000Z"))
     rows = bronze(spark, sf_dir).where((n % 7 == 0) & (n % 10 != 0))
-    at = F.lit("2024-01-30 17:00:00").cast("timestamp")
+    at = F.lit(f"2024-01-30 {hour:02d}:00:00").cast("timestamp")
     return rows.withColumn("timestamp", again).select(
         *[c for c in rows.columns if c not in PARTITION_COLUMNS],
         *partition_columns(at),
     )
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events as they arrive: three spans of days, the copies of each after its events, then
+    those sent again late on the last day, then those sent again for an hour long past."""
+    rows = _rows(spark, sf_dir)
+    days = F.col("day")
+    spans = [(1, 10), (11, 20), (21, 31)]
+    parts = [
+        rows.where(days.between(*span) & (F.col("seconds_late") == late)).drop("seconds_late")
+        for span in spans
+        for late in (0, 60)
+    ]
+    return [*parts, resent(spark, sf_dir, 23), resent(spark, sf_dir, 17)]
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON text, column `raw`."""
     metadata = F.try_parse_json("metadata").alias("metadata")
     return bronze(spark, sf_dir).select(
         F.to_json(F.struct(*REQUIRED_FIELDS, metadata)).alias("raw")
     )
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines with eight of thirteen damaged, by the number of the event."""
+    n = F.get_json_object("raw", "$.event_id").cast("long")
+    swaps = {
+        2: ('"event_id":"', '"event_id":5,"sent":"'),
+        3: ('"user_id":"', '"user":"'),
+        4: ('"timestamp":"', '"timestamp":true,"sent":"'),
+        5: ('"timestamp":"', '"timestamp":99999999999999999999,"sent":"'),
+        6: ('"metadata":{', '"metadata":7,"sent":{'),
+        7: ('"session_id":"', '"session_id":null,"sent":"'),
+    }
+    damaged = (
+        F.when(n % 13 == 0, F.expr("left(raw, length(raw) - 1)"))
+        .when(n % 13 == 1, F.concat(F.lit("["), "raw", F.lit("]")))
+    )
+    for rest, (old, new) in swaps.items():
+        damaged = damaged.when(n % 13 == rest, F.replace("raw", F.lit(old), F.lit(new)))
+    return raw_lines(spark, sf_dir).select(damaged.otherwise(F.col("raw")).alias("raw"))

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from tidemark.sources import snapshots
 from tidemark.sources.lake import Lake, escaped, read_silver, silver_hours
 
-# Buckets of an index that is made; one that exists keeps its own number.
-BUCKETS = 64
+# Ids of a day that one bucket should hold, and the least number of buckets: they are the tasks
+# of a probe. An index that exists keeps its number.
+DAY_IDS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS = 16
 _COUNT = "buckets"
 
 
@@ -53,11 +55,11 @@ def indexed_days(spark: SparkSession, lake: Lake) -> dict[int, str]:
 
 
 def index_days(
-    spark: SparkSession, lake: Lake, first: datetime, buckets: int = BUCKETS
+    spark: SparkSession, lake: Lake, first: datetime, buckets: int | None = None
 ) -> list[int]:
     """Add the ids of all whole days before the day of `first` that are not indexed yet.
 
-    Returns the days added. Rows of partitions that name no hour are not indexed.
+    The first call sets the number of buckets, by the largest day where none is given. Returns the days added. Rows of partitions that name no hour are not indexed.
     """
     known = indexed_days(spark, lake)
     until = _day((first.year, first.month, first.day))
@@ -65,14 +67,20 @@ def index_days(
     missing = sorted(day for day in stored if day < until and day not in known)
     if not missing:
         return []
-    buckets = int(snapshots.current(spark, _base(lake)).parts.get(_COUNT, buckets))
-    run = snapshots.new_folder()
     ids = (
         read_silver(spark, lake)
         .withColumn("day", F.expr(_DAY_OF_ROW))
         .where(F.col("day").isin(missing))
         .select("event_id", "day")
     )
+    made_with = snapshots.current(spark, _base(lake)).parts.get(_COUNT)
+    if made_with:
+        buckets = int(made_with)
+    elif buckets is None:
+        by_day = ids.groupBy("day").agg(F.count("*").alias("ids"))
+        most = by_day.agg(F.max("ids").alias("most")).first()["most"] or 0
+        buckets = max(LEAST_BUCKETS, -(-most // DAY_IDS_PER_BUCKET))
+    run = snapshots.new_folder()
     # Bucketed files are written through a table; dropping it leaves the files.
     table = f"{_database(spark, lake)}.ids_{run.removeprefix('run=')}"
     (

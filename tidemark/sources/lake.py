@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from tidemark.functions.times import (
     lookback_cutoff,
     partition_columns,
 )
-from tidemark.schema import BRONZE, GOLD, PARTITION_COLUMNS, QUARANTINE, SILVER
+from tidemark.schema import BRONZE, GOLD, PARTITION_COLUMNS, QUARANTINE, SILVER, SKETCHES
 from tidemark.sources import paths, snapshots
 
 
@@ -49,6 +51,10 @@ class Lake:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/sketches"
+
     def gold(self, metric: str) -> str:
         return f"{self.root}/gold/{metric}"
 
@@ -278,6 +284,16 @@ def append_quarantine(rejects: DataFrame, lake: Lake, query: str, batch_id: int)
     return written.get["rows"]
 
 
+def read_sketches(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Stored sketches of the users of each hour."""
+    return _read(spark, lake.sketches, SKETCHES)
+
+
+def overwrite_sketches(rows: DataFrame, lake: Lake, first: datetime | None) -> int:
+    """Replace the sketches of the hours from `first` on, or all; rows written."""
+    return _overwrite_hours(rows, lake, lake.sketches, first)[0]
+
+
 def overwrite_silver(
     rows: DataFrame, lake: Lake, as_of: datetime | None, lookback_hours: int | None
 ) -> int:
@@ -290,8 +306,18 @@ def overwrite_silver(
     first = None if lookback_hours is None else lookback_cutoff(as_of, lookback_hours)
     if lake.snapshots:
         return _publish_silver(rows, lake, first)
-    before = paths.hour_folders(spark, lake.silver, first)
+    count, kept, removed = _overwrite_hours(rows, lake, lake.silver, first)
+    new = {hour for hour in kept if None not in hour}
+    _update_catalog(spark, lake, "silver", new, removed)
+    return count
 
+
+def _overwrite_hours(
+    rows: DataFrame, lake: Lake, path: str, first: datetime | None
+) -> tuple[int, set[tuple], set[tuple]]:
+    """Rows written, hours that have rows, and hours of the window that have none any more."""
+    spark = rows.sparkSession
+    before = paths.hour_folders(spark, path, first)
     written = Observation()
     (
         _by_hour(rows)
@@ -304,15 +330,14 @@ def overwrite_silver(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
-        .parquet(lake.silver)
+        .parquet(path)
     )
     kept = {tuple(hour) for hour in written.get["hours"]}
-    for hour in before.keys() - kept:
+    removed = before.keys() - kept
+    for hour in removed:
         for folder in before[hour]:
             paths.delete(spark, folder)
-    new = {hour for hour in kept if None not in hour}
-    _update_catalog(spark, lake, "silver", new, before.keys() - kept)
-    return written.get["rows"]
+    return written.get["rows"], kept, removed
 
 
 def _publish_silver(rows: DataFrame, lake: Lake, first: datetime | None) -> int:
@@ -348,20 +373,29 @@ def _publish_silver(rows: DataFrame, lake: Lake, first: datetime | None) -> int:
 
 
 def overwrite_gold_metrics(metrics: dict[str, DataFrame], lake: Lake) -> dict[str, int]:
-    """Replace several metrics; rows by metric. With snapshots they change together, at once."""
-    if not lake.snapshots:
-        return {metric: overwrite_gold(rows, lake, metric) for metric, rows in metrics.items()}
-    spark = next(iter(metrics.values())).sparkSession
+    """Replace several metrics; rows by metric. With snapshots they change together, at once.
+
+    The metrics do not depend on each other: their jobs run side by side.
+    """
     base, run = f"{lake.root}/gold", snapshots.new_folder()
-    counts = {}
-    for metric, rows in metrics.items():
+
+    def write(item: tuple[str, DataFrame]) -> int:
+        metric, rows = item
+        if not lake.snapshots:
+            return overwrite_gold(rows, lake, metric)
         written = Observation()
         (
             rows.select(GOLD[metric].fieldNames())
             .observe(written, F.count("*").alias("rows"))
             .write.parquet(snapshots.folder(base, f"{run}/{metric}"))
         )
-        counts[metric] = written.get["rows"]
+        return written.get["rows"]
+
+    spark = next(iter(metrics.values())).sparkSession
+    with ThreadPoolExecutor(len(metrics)) as pool:
+        counts = dict(zip(metrics, pool.map(inheritable_thread_target(spark)(write), metrics.items())))
+    if not lake.snapshots:
+        return counts
     made = {metric: f"{run}/{metric}" for metric in metrics}
     snapshots.publish(spark, base, lambda parts: parts | made)
     for metric, folder in made.items():

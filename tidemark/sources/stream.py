@@ -4,24 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
-from tidemark.schema import REQUIRED_FIELDS
+from tidemark.schema import BRONZE, REQUIRED_FIELDS
 
 
 # Files of one batch unless told otherwise: a backlog is worked off in several batches.
 FILES_PER_TRIGGER = 1000
 
 
+def _admitting(
+    reader: DataStreamReader, max_files: int | None, max_bytes: int | str | None
+) -> DataStreamReader:
+    """Limit a batch by the bytes of its files where given, else by their number.
+
+    A file is never cut: one that is larger than the limit makes a batch of its own.
+    """
+    if max_bytes is not None:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
 def read_landing(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
+    max_bytes_per_trigger: int | str | None = None,
 ) -> DataFrame:
-    """Stream of JSON lines from the files of a folder, oldest first, as column `raw`."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    """Stream of JSON lines from the files of a folder, oldest first, as column `raw`.
+
+    A batch takes files up to `max_bytes_per_trigger` ("512m", say) if that is given, else up to
+    `max_files_per_trigger`.
+    """
+    reader = _admitting(
+        spark.readStream.format("text"), max_files_per_trigger, max_bytes_per_trigger
+    )
     return reader.load(path).withColumnRenamed("value", "raw")
 
 
+def read_rows(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = BRONZE,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
+    max_bytes_per_trigger: int | str | None = None,
+) -> DataFrame:
+    """Stream of rows from the Parquet files of a folder, bronze say, oldest first."""
+    reader = _admitting(spark.readStream, max_files_per_trigger, max_bytes_per_trigger)
+    return reader.schema(schema).parquet(path)
+
+
 def read_messages(
     spark: SparkSession, source: str, options: dict[str, str], payload: str = "value"
 ) -> DataFrame:
