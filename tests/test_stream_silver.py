@@ -151,3 +151,8 @@ def test_batches_are_bounded_by_bytes(spark, tmp_path):
     assert sum(b.input_rows for b in batches) == len(sizes)
     assert [b.input_rows for b in batches] == [2, 1, 1, 2]
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(sizes)
+
+
+def test_size_or_time_options():
+    assert stream.size_or_time() == {"minOffsetsPerTrigger": "2000", "maxTriggerDelay": "10s"}
+    assert stream.size_or_time(5, "1m")["minOffsetsPerTrigger"] == "5"

@@ -12,6 +12,9 @@ from tidemark.schema import BRONZE, REQUIRED_FIELDS
 
 # Files of one batch unless told otherwise: a backlog is worked off in several batches.
 FILES_PER_TRIGGER = 1000
+# Events that make a batch, and how long one waits for others at most.
+FLUSH_EVENTS = 2000
+FLUSH_DELAY = "10s"
 
 
 def _admitting(
@@ -55,13 +58,18 @@ def read_rows(
     return reader.schema(schema).parquet(path)
 
 
+def size_or_time(events: int = FLUSH_EVENTS, delay: str = FLUSH_DELAY) -> dict[str, str]:
+    """Options of a Kafka stream that starts a batch at that many events, or at that age."""
+    return {"minOffsetsPerTrigger": str(events), "maxTriggerDelay": delay}
+
+
 def read_messages(
     spark: SparkSession, source: str, options: dict[str, str], payload: str = "value"
 ) -> DataFrame:
     """Stream of messages from a connector on the classpath, as column `raw`.
 
     For Kafka, `startingOffsets=earliest` begins at the oldest message where there is no
-    checkpoint yet, and `maxOffsetsPerTrigger` limits a batch.
+    checkpoint yet, `maxOffsetsPerTrigger` limits a batch, and `size_or_time` says when one starts.
     """
     stream = spark.readStream.format(source).options(**options).load()
     return stream.select(F.col(payload).cast("string").alias("raw"))
