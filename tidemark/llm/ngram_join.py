@@ -24,7 +24,8 @@ a link at exactly 0.75 is at most 5.4e-14 (48 judged on average; 3.1e-16 at 192
 
 Sets equal to each other are one class from the start. Groups of up to `small_group` sets with
 a common signature give all their pairs, larger ones a star around their most connected
-member. Pairs are verified on the sets themselves. In a large group that is not connected
+member. Pairs are verified on the sets themselves: first one of each set, then those whose ends
+are not connected by that. In a large group that is not connected
 afterwards, pairs across its components that share one of their rarest shingles are verified
 as well, so the components are those of all links.
 """
@@ -37,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -50,6 +51,8 @@ RECORDS_PER_TASK = 1_500_000
 PROBES = 64
 # Ids sent along with a scan of the texts, at most: some 40 MB in a task's memory.
 BROADCAST_IDS = 1_000_000
+# Partners of a set that are verified in large groups before the exact search across components.
+PARTNERS = 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,6 +128,27 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
 _DEALT = "bucket int, keys binary, owners binary"
 
 
+_WIDTHS = (np.uint16, np.uint32, np.uint64)
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """64-bit numbers as their distances from the smallest, no wider than these need."""
+    base = numbers.min()
+    gaps = (numbers - base).view(np.uint64)  # wraps where the range is wider than 63 bits
+    most = int(gaps.max())
+    width = next(w for w in _WIDTHS if most <= np.iinfo(w).max)
+    return base.tobytes() + gaps.astype(width).tobytes()
+
+
+def _widened(packs: list[bytes], counts: list[int]) -> np.ndarray:
+    made = []
+    for pack, count in zip(packs, counts):
+        width = np.dtype(f"u{(len(pack) - 8) // count}")
+        gaps = np.frombuffer(pack, width, count, 8).astype(np.uint64)
+        made.append(gaps.view(np.int64) + np.frombuffer(pack, np.int64, 1))
+    return np.concatenate(made)
+
+
 def _deal(keys: np.ndarray, owners: np.ndarray, buckets: int) -> dict[str, list]:
     """Records (key, owner) by bucket of the key, one packed row a bucket."""
     bucket = ((keys >> np.uint64(1)) % np.uint64(buckets)).astype(np.int32)
@@ -135,7 +159,7 @@ def _deal(keys: np.ndarray, owners: np.ndarray, buckets: int) -> dict[str, list]
     return {
         "bucket": [int(bucket[s]) for s in starts],
         "keys": [keys[s:e].tobytes() for s, e in zip(starts, ends)],
-        "owners": [owners[s:e].tobytes() for s, e in zip(starts, ends)],
+        "owners": [_narrow(owners[s:e]) for s, e in zip(starts, ends)],
     }
 
 
@@ -150,7 +174,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
     for bucket in [*held]:
         keys, owners = held.pop(bucket)
         key = np.frombuffer(b"".join(keys), np.uint64)
-        owner = np.frombuffer(b"".join(owners), np.int64)
+        owner = _widened(owners, [len(k) // 8 for k in keys])
         order = np.lexsort((owner, key))
         yield key[order], owner[order]
 
@@ -340,13 +364,8 @@ def _matches(dealt: DataFrame, tasks: int, small_group: int) -> DataFrame:
                 centre = members[np.argmax(met[at : at + count])]
                 members = np.sort(members)
                 groups.setdefault(members.tobytes(), (members, centre))
-            for members, centre in groups.values():
-                rest = members[members != centre]
-                pairs.append(np.sort(np.stack([np.full(len(rest), centre), rest], axis=1), axis=1))
-            if not pairs:
-                continue
-            unique = np.unique(np.concatenate(pairs), axis=0)
-            yield _rows(np.zeros(0, np.int64), unique)
+            if pairs:
+                yield _rows(np.zeros(0, np.int64), np.unique(np.concatenate(pairs), axis=0))
             for members, centre in groups.values():
                 name = mix(members.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)
                 first = np.full(len(members), centre)
@@ -402,8 +421,19 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def _needed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets that stored pairs name. Only these are shuffled, where the ids are few enough."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return sets.join(F.broadcast(ids), "id", "left_semi") if _few(ids) else sets
+
+
+def _few(ids: DataFrame) -> bool:
+    return ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
+    sets = _needed(sets, pairs)
     left = sets.select(F.col("id").alias("a"), "n", F.col("shingles").alias("s"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("shingles").alias("t"))
     both = pairs.join(left, "a").join(right, "b")
@@ -482,10 +512,9 @@ def ngram_classes(
         _matches(_dealt_signatures(sets, percent, 4 * tasks), tasks, small_group),
         f"{root}/matched",
     )
-    pairs = matched.where("g IS NULL AND a <> b").select("a", "b").distinct()
-    pairs = _stored(_plausible(pairs, sets, percent), f"{root}/pairs")
-    links = _stored(_verified(pairs, sets, percent), f"{root}/links")
-    far = _far_pairs(matched, links, sets, percent, root).join(pairs, ["a", "b"], "left_anti")
+    joined, pairs = _spanned(matched, sets, percent, root)
+    links = _stars(joined)
+    far = _far_pairs(matched, joined, sets, percent, root).join(pairs, ["a", "b"], "left_anti")
     far = _stored(_plausible(far, sets, percent), f"{root}/far-pairs")
     if not far.isEmpty():
         links = links.unionAll(_stored(_verified(far, sets, percent), f"{root}/far-links"))
@@ -507,8 +536,61 @@ def ngram_classes(
     )
 
 
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component of `joined` (id, component)."""
+    for end in ("a", "b"):
+        parts = joined.select(F.col("id").alias(end), F.col("component").alias(f"part of {end}"))
+        pairs = pairs.join(parts, end, "left").withColumn(
+            f"part of {end}", F.coalesce(f"part of {end}", end)
+        )
+    return pairs.where("`part of a` <> `part of b`").select("a", "b")
+
+
+def _stars(joined: DataFrame) -> DataFrame:
+    """Links (a, b) of every id to its component."""
+    stars = joined.where("id <> component")
+    return stars.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
+def _spanned(
+    matched: DataFrame, sets: DataFrame, percent: int, root: str
+) -> tuple[DataFrame, DataFrame]:
+    """Components (id, component) by the links of common signatures, and the pairs (a, b) tried.
+
+    First every set is verified with the partner it shares most groups with, one pair a set. A
+    pair whose ends these links connect already changes no component; of the others go on all
+    pairs of small groups, and of large ones those with a set's next best partners. What large
+    groups still lack is found by `_far_pairs`.
+    """
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    met = matched.where("a <> b").select("g", *ends).groupBy("a", "b")
+    small = F.count_if(F.col("g").isNull())
+    pairs = met.agg(F.count("*").alias("votes"), (small > 0).alias("small"))
+    pairs = _stored(pairs, f"{root}/met")
+    turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes")
+    order = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
+    ranked = pairs.select("a", "b", "votes").unionAll(turned)
+    ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PARTNERS)
+    chosen = ranked.groupBy(*ends).agg(F.min("rank").alias("rank"))
+    small = pairs.where("small").select("a", "b", F.lit(PARTNERS).alias("rank"))
+    pairs = chosen.unionAll(small).groupBy("a", "b").agg(F.min("rank").alias("rank"))
+    pairs = _stored(pairs, f"{root}/pairs")
+
+    best = pairs.where("rank = 1").select("a", "b")
+    best = _stored(_plausible(best, sets, percent), f"{root}/best-pairs")
+    links = _stored(_verified(best, sets, percent), f"{root}/best-links")
+    joined = _stored(components(links), f"{root}/best-components")
+    others = _apart(pairs.where("rank > 1").select("a", "b"), joined)
+    others = _stored(_plausible(others, sets, percent), f"{root}/other-pairs")
+    if not others.isEmpty():
+        more = _stored(_verified(others, sets, percent), f"{root}/other-links")
+        if not more.isEmpty():  # what is joined already goes on as stars
+            joined = _stored(components(_stars(joined).unionAll(more)), f"{root}/first-components")
+    return joined, pairs.select("a", "b")
+
+
 def _far_pairs(
-    matched: DataFrame, links: DataFrame, sets: DataFrame, percent: int, root: str
+    matched: DataFrame, joined: DataFrame, sets: DataFrame, percent: int, root: str
 ) -> DataFrame:
     """Pairs across the components of a large group; none where its star has connected it.
 
@@ -518,7 +600,6 @@ def _far_pairs(
     as what they have of their own is rarer than what they share.
     """
     members = matched.where("g IS NOT NULL").select("g", F.col("b").alias("id")).distinct()
-    joined = _stored(components(links), f"{root}/first-components")
     members = members.join(joined, "id", "left").select(
         "g", "id", F.coalesce("component", "id").alias("part")
     )
@@ -526,21 +607,27 @@ def _far_pairs(
     split = split.where("x <> y").select("g")
     members = members.join(split, "g", "left_semi").select("id", "part").distinct()
     members = _stored(members, f"{root}/split-members")
-    own = _stored(sets.join(members.select("id"), "id", "left_semi"), f"{root}/split-sets")
+    ids = members.select("id").distinct()
+    if _few(ids):
+        own = sets.join(F.broadcast(ids), "id", "left_semi")
+    else:
+        own = _stored(sets.join(ids, "id", "left_semi"), f"{root}/split-sets")
     tasks = _tasks(own.sparkSession, int(own.agg(F.sum("n")).first()[0] or 0))
     prefixes = _rare_prefixes(own.select("id", "n", "shingles"), percent, tasks)
     return _crossed(prefixes.join(members, "id"), percent, tasks)
 
 
 def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
-    """(key, id, n, met): the rarest shingles of each set that another set has too.
+    """(key, id, n, met, before): the rarest shingles of each set that another set has too.
 
-    `met` of the set's n shingles are in another set, so it has no more in common with any.
+    `met` of the set's n shingles from this one on are in another set, so a set whose first common
+    one this is has no more in common with it. `before` is the set's key before, or a number no
+    other set has.
 
     A key is the frequency of a shingle above 44 bits of it, so keys sort by rarity. Shingles
     with one key count as equal, which can only add pairs.
     """
-    buckets = 4 * tasks
+    buckets, spread = 4 * tasks, 2 * tasks
 
     def packed(dealt: dict[str, list]) -> pa.RecordBatch:
         columns = zip(dealt.values(), (pa.int32(), pa.binary(), pa.binary()))
@@ -554,23 +641,28 @@ def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
                 yield packed(_deal(lists.flatten().to_numpy().view(np.uint64), owners, buckets))
 
     def by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, ranks = [], []
         for key, owner in _by_bucket(batches):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
             often = np.repeat(np.minimum(size, (1 << 19) - 1), size)
             rank = often.astype(np.int64) << 44 | (key >> np.uint64(20)).astype(np.int64)
             met = often > 1
-            yield packed(_deal(owner[met].view(np.uint64), rank[met], buckets))
+            owners.append(owner[met].view(np.uint64))
+            ranks.append(rank[met])
+        # Dealt once a task: packs number tasks times buckets.
+        if owners and sum(map(len, owners)):
+            yield packed(_deal(np.concatenate(owners), np.concatenate(ranks), spread))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts = (c.to_numpy() for c in batch.columns)
-            yield packed(_deal(ids.view(np.uint64), -counts, buckets))
+            yield packed(_deal(ids.view(np.uint64), -counts, spread))
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, value in _by_bucket(batches):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            kept, ids, counts, common = [], [], [], []
+            kept, ids, counts, common, before = [], [], [], [], []
             for first, end in zip(start, [*start[1:], len(key)]):
                 # Sizes are negative and come before the ranks.
                 n = -value[first:end][value[first:end] < 0]
@@ -579,32 +671,42 @@ def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
                 if len(n) == 1:  # an id with several texts keeps all ranks
                     alone = n[0] - met
                     ranks = ranks[: max(0, n[0] - -(-n[0] * percent // 100) + 1 - alone)]
+                own = key[first : first + 1].view(np.int64)
+                passed = np.arange(len(ranks)) if len(n) == 1 else np.zeros(len(ranks), np.int64)
                 for one in n:
                     kept.append(ranks)
-                    ids.append(np.full(len(ranks), key[first]).view(np.int64))
+                    ids.append(np.full(len(ranks), own))
                     counts.append(np.full(len(ranks), one))
-                    common.append(np.full(len(ranks), min(met, one)))
+                    common.append(np.minimum(met, one) - passed)
+                    before.append(np.r_[~own, ranks[:-1]][: len(ranks)])
             if kept:
-                columns = [pa.array(np.concatenate(c), pa.int64()) for c in (kept, ids, counts, common)]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "n", "met"])
+                columns = (np.concatenate(c) for c in (kept, ids, counts, common, before))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["key", "id", "n", "met", "before"]
+                )
 
     records = sets.select("id", "n", "shingles").mapInArrow(by_shingle, _DEALT)
     ranked = records.repartition(tasks, "bucket").mapInArrow(by_id, _DEALT)
     ranked = ranked.unionAll(sets.select("id", "n").mapInArrow(sizes, _DEALT))
     ranked = ranked.repartition(tasks, "bucket")
-    return ranked.mapInArrow(prefix, "key long, id long, n long, met long")
+    return ranked.mapInArrow(prefix, "key long, id long, n long, met long, before long")
 
 
 def _crossed(prefixes: DataFrame, percent: int, tasks: int) -> DataFrame:
-    """Pairs (a, b) of different parts with a common key, with n and met that allow a link."""
+    """Pairs (a, b) of different parts with a common key, with n and met that allow a link.
+
+    A pair is given at its first common key. At a later one it is mostly passed over: where the
+    key before is common too. So a passage that many texts share gives its pairs about once,
+    not once a shingle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
         if not held:
             return
-        key, n, met, ids, part = (np.concatenate(c) for c in zip(*held))
+        key, n, met, before, ids, part = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((n, key))
-        key, n, met, ids, part = (c[order] for c in (key, n, met, ids, part))
+        key, n, met, before, ids, part = (c[order] for c in (key, n, met, before, ids, part))
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         found, waiting = [], 0
         for first, end in zip(start, [*start[1:], len(key)]):
@@ -616,7 +718,8 @@ def _crossed(prefixes: DataFrame, percent: int, tasks: int) -> DataFrame:
                 rest = slice(i + 1, last)
                 least = percent * (n[rest] + n[i])
                 fits = (100 + percent) * np.minimum(met[rest], met[i]) >= least
-                other = ids[rest][fits & (part[rest] != part[i])]
+                first_met = (part[rest] != part[i]) & (before[rest] != before[i])
+                other = ids[rest][fits & first_met]
                 found.append(np.sort(np.stack([np.full(len(other), ids[i]), other], axis=1), axis=1))
                 waiting += len(other)
                 if waiting > 1_000_000:
@@ -625,5 +728,5 @@ def _crossed(prefixes: DataFrame, percent: int, tasks: int) -> DataFrame:
         if found:
             yield _rows(np.zeros(0, np.int64), np.unique(np.concatenate(found), axis=0))
 
-    dealt = prefixes.select("key", "n", "met", "id", "part").repartition(tasks, "key")
+    dealt = prefixes.select("key", "n", "met", "before", "id", "part").repartition(tasks, "key")
     return dealt.mapInArrow(run, "g long, a long, b long").select("a", "b").distinct()
