@@ -4,8 +4,9 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from tests.conftest import bronze_frame, bronze_row, plan
+from tests.conftest import bronze_frame, bronze_row, options, plan
 from tidemark.schema import SILVER
 from tidemark.sources import stream
 from tidemark.streaming import silver as streamed
@@ -126,6 +127,20 @@ def test_a_batch_that_failed_is_not_landed_twice(spark, arrivals):
     assert sum(rows for rows, _, _ in arrivals.batches().values()) == sum(map(len, FILES[:3]))
 
 
+def test_files_of_an_hour_do_not_grow_with_the_tasks(spark, arrivals):
+    hours = range(10, 13)
+    arrivals.add(*[at(f"{h}-{n}", f"30T{h}:{n % 60:02d}") for h in hours for n in range(120)])
+    with options(spark, shuffle__partitions="16"):
+        arrivals.run()
+    rows = spark.read.schema(SILVER).parquet(f"{arrivals.root}/silver")
+    named = rows.select("hour", F.input_file_name().alias("file"))
+    files = named.groupBy("hour").agg(F.count_distinct("file"), F.count("*"))
+    found = {hour: (names, count) for hour, names, count in files.collect()}
+    assert {hour: count for hour, (_, count) in found.items()} == dict.fromkeys(hours, 120)
+    # Dealt over more than one task, but not over all sixteen.
+    assert all(1 < names <= streamed.TASKS_PER_HOUR for names, _ in found.values())
+
+
 def test_stream_plans_shuffle_ids_once(spark, arrivals):
     arrivals.add(*FILES[0])
     rows = spark.read.parquet(f"{arrivals.root}/in")
