@@ -2,13 +2,14 @@
 
 import json
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import bronze_frame, bronze_row, options, plan
 from tidemark.schema import SILVER
-from tidemark.sources import stream
+from tidemark.sources import derived_events, stream
 from tidemark.streaming import silver as streamed
 from tidemark.streaming.progress import ProgressLog, read_progress
 
@@ -168,6 +169,35 @@ def test_batches_are_bounded_by_bytes(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(sizes)
 
 
+def test_an_arrival_of_many_files_is_one_batch(spark, tmp_path):
+    # No events on days 21 to 31 and none with a copy before day 11: three arrivals are empty,
+    # and some have fewer rows than files.
+    rows = [(n, datetime(2024, 1, 1 + n % 20, 10, n % 60), n % 5, "view", 1.0, '{"k": 2}')
+            for n in range(1, 400) if n % 10 or n % 20 >= 10]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    sizes = [rows.count() for rows in derived_events.arrivals(spark, str(tmp_path))]
+    assert sizes.count(0) == 3 and max(sizes) > 100
+    folder = str(tmp_path / "in")
+    files = derived_events.write_arrivals(spark, str(tmp_path), folder, events_per_file=100)
+    assert files == 4
+    named = [name for name in os.listdir(folder) if name.endswith(".parquet")]
+    assert len(named) == 4 * len(sizes)
+    log = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    stored = streamed.land(
+        stream.read_rows(spark, folder, max_files_per_trigger=files),
+        str(tmp_path / "out"), str(tmp_path / "checkpoint"), [], once=True,
+    )
+    stored.awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.streams.removeListener(log)
+    batches = read_progress(spark, str(tmp_path / "progress")).orderBy("batch").collect()
+    assert [b.input_rows for b in batches] == sizes
+    held = spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+    assert max(rows["count"] for rows in held) <= -(-max(sizes) // files) + 8
+
+
 def test_size_or_time_options():
     assert stream.size_or_time() == {"minOffsetsPerTrigger": "2000", "maxTriggerDelay": "10s"}
     assert stream.size_or_time(5, "1m")["minOffsetsPerTrigger"] == "5"
