@@ -21,6 +21,8 @@ bound of its largest partner, 48 to 96. A linked set has three quarters of its s
 common with another set, so one with less than an eighth of its judged probes in any other set
 is taken to have none. Small sets are judged whole; for larger ones the chance that this misses
 a link at exactly 0.75 is at most 5.4e-14 (48 judged on average; 3.1e-16 at 192 shingles).
+Of the sets left, all shingles are counted: one that has less than three quarters of them in
+other sets left, as texts around a common passage do, has no link and goes no further.
 
 Sets equal to each other are one class from the start. Groups of up to `small_group` sets with
 a common signature give all their pairs, larger ones a star around their most connected
@@ -45,6 +47,7 @@ from tidemark.llm.components import components
 from tidemark.llm.ngram_sets import Shingler, mix
 from tidemark.llm.texts import slices
 from tidemark.session import scratch_path
+from tidemark.sources import paths
 
 # Records (16 bytes) that one task matches, on average.
 RECORDS_PER_TASK = 1_500_000
@@ -126,59 +129,102 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
 # --- Records dealt to tasks in packed form ------------------------------------------------
 
 _DEALT = "bucket int, keys binary, owners binary"
+_PACKED = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())])
+# Bytes of a hash that go along with it, besides what its bucket tells. Hashes of a bucket that
+# agree in these count as equal: of a million, some two in a million do, and add a candidate.
+_KEY_BYTES = 5
+# Shingles of the sets that are dealt at once: packs stay long where there are many buckets.
+_AT_ONCE = 1 << 20
 
 
-_WIDTHS = (np.uint16, np.uint32, np.uint64)
+def _bytes_of(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of each 64-bit number."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _numbers(packed: bytes, width: int) -> np.ndarray:
+    made = np.zeros((len(packed) // width, 8), np.uint8)
+    made[:, :width] = np.frombuffer(packed, np.uint8).reshape(-1, width)
+    return made.reshape(-1).view(np.uint64)
 
 
 def _narrow(numbers: np.ndarray) -> bytes:
     """64-bit numbers as their distances from the smallest, no wider than these need."""
     base = numbers.min()
     gaps = (numbers - base).view(np.uint64)  # wraps where the range is wider than 63 bits
-    most = int(gaps.max())
-    width = next(w for w in _WIDTHS if most <= np.iinfo(w).max)
-    return base.tobytes() + gaps.astype(width).tobytes()
+    width = max(1, -(-int(gaps.max()).bit_length() // 8))
+    return base.tobytes() + bytes([width]) + _bytes_of(gaps, width)
 
 
-def _widened(packs: list[bytes], counts: list[int]) -> np.ndarray:
-    made = []
-    for pack, count in zip(packs, counts):
-        width = np.dtype(f"u{(len(pack) - 8) // count}")
-        gaps = np.frombuffer(pack, width, count, 8).astype(np.uint64)
-        made.append(gaps.view(np.int64) + np.frombuffer(pack, np.int64, 1))
-    return np.concatenate(made)
+def _widened(pack: bytes) -> np.ndarray:
+    return _numbers(pack[9:], pack[8]).view(np.int64) + np.frombuffer(pack, np.int64, 1)
 
 
-def _deal(keys: np.ndarray, owners: np.ndarray, buckets: int) -> dict[str, list]:
-    """Records (key, owner) by bucket of the key, one packed row a bucket."""
-    bucket = ((keys >> np.uint64(1)) % np.uint64(buckets)).astype(np.int32)
+def _deal(
+    keys: np.ndarray, owners: np.ndarray, buckets: int, exact: bool = False
+) -> pa.RecordBatch:
+    """Records (key, owner) by bucket of the key, one packed row a bucket.
+
+    Keys are hashes, of which `_KEY_BYTES` go along, or `exact` numbers. A key's lowest bit does
+    not count for its bucket and is kept.
+    """
+    one = np.uint64(1)
+    bucket = ((keys >> one) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     keys, owners, bucket = keys[order], owners[order], bucket[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
     ends = [*starts[1:], len(bucket)] if len(bucket) else []
-    return {
-        "bucket": [int(bucket[s]) for s in starts],
-        "keys": [keys[s:e].tobytes() for s, e in zip(starts, ends)],
-        "owners": [_narrow(owners[s:e]) for s, e in zip(starts, ends)],
-    }
+    if not exact:
+        keys = (keys >> one) // np.uint64(buckets) << one | keys & one
+    packed = [
+        _narrow(keys[s:e].view(np.int64)) if exact else _bytes_of(keys[s:e], _KEY_BYTES)
+        for s, e in zip(starts, ends)
+    ]
+    columns = (
+        [int(bucket[s]) for s in starts], packed, [_narrow(owners[s:e]) for s, e in zip(starts, ends)]
+    )
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, _PACKED.types)], schema=_PACKED
+    )
+
 
+def _by_bucket(
+    batches: Iterator[pa.RecordBatch], buckets: int, exact: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, owners) of each bucket of a partition, sorted by key, then by owner.
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, owners) of each bucket of a partition, sorted by key, then by owner."""
+    Of hashes come the lower bits, those that went along and those the bucket tells.
+    """
     held: dict[int, tuple[list, list]] = {}
     for batch in batches:
         for bucket, keys, owners in zip(*(c.to_pylist() for c in batch.columns)):
             own = held.setdefault(bucket, ([], []))
             own[0].append(keys)
             own[1].append(owners)
+    one = np.uint64(1)
     for bucket in [*held]:
         keys, owners = held.pop(bucket)
-        key = np.frombuffer(b"".join(keys), np.uint64)
-        owner = _widened(owners, [len(k) // 8 for k in keys])
+        if exact:
+            key = np.concatenate([_widened(k) for k in keys]).view(np.uint64)
+        else:
+            sent = _numbers(b"".join(keys), _KEY_BYTES)
+            key = ((sent >> one) * np.uint64(buckets) + np.uint64(bucket)) << one | sent & one
+        owner = np.concatenate([_widened(o) for o in owners])
         order = np.lexsort((owner, key))
         yield key[order], owner[order]
 
 
+def _portions(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Cut a batch of sets of these sizes where they add up to `_AT_ONCE`."""
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < batch.num_rows:
+        held = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, held + _AT_ONCE, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _tasks(spark: SparkSession, records: int) -> int:
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, records // RECORDS_PER_TASK + 1)
@@ -237,8 +283,9 @@ def _scanned(
         for seed in (np.uint64(1), _ODD)
     ]
     prints = np.stack([*sums, sizes], axis=1)
-    # 64 bits of the fingerprint stand for the set while probing.
-    probe = mix(sums[0] ^ mix(sums[1] + sizes)).view(np.int64)
+    # 48 bits of the fingerprint stand for the set while probing: two linked sets that have the
+    # same, one pair in 2.8e14, would not be seen to meet.
+    probe = (mix(sums[0] ^ mix(sums[1] + sizes)) >> np.uint64(16)).view(np.int64)
     key, row, counts = _probes(sets, percent)
     known_id = np.array([i is not None for i in ids.to_pylist()], bool)
     key, row = key[known_id[row]], row[known_id[row]]
@@ -258,7 +305,7 @@ def _scanned(
     # A hash that is common here needs only to be told on, the others also to be told back.
     sent = new_key if len(key) else common
     dealt = _deal(key[sent], owner[sent], buckets)
-    rows, packs = len(sets), len(dealt["bucket"])
+    rows, packs = len(sets), dealt.num_rows
     columns = [
         pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(packs, pa.int64())]),
         pa.array([*sizes.astype(np.int64).tolist(), *[None] * packs], pa.int64()),
@@ -266,29 +313,27 @@ def _scanned(
         pa.array([*probe.tolist(), *[None] * packs], pa.int64()),
         pa.array([*counts.tolist(), *[None] * packs], pa.int32()),
         pa.array([*shared.tolist(), *[None] * packs], pa.int32()),
-        pa.array([*[None] * rows, *dealt["bucket"]], pa.int32()),
-        pa.array([*[None] * rows, *dealt["keys"]], pa.binary()),
-        pa.array([*[None] * rows, *dealt["owners"]], pa.binary()),
+        *[pa.concat_arrays([pa.nulls(rows, c.type), c]) for c in dealt.columns],
     ]
     names = "id n print probe probed shared bucket keys owners".split()
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _found_elsewhere(dealt: DataFrame, tasks: int) -> DataFrame:
-    """(probe, elsewhere): how many probed hashes of a set another set has too."""
+def _found_elsewhere(dealt: DataFrame, tasks: int, buckets: int) -> DataFrame:
+    """(owner, elsewhere): how many of an owner's hashes another owner has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, owner in _by_bucket(batches):
+        for key, owner in _by_bucket(batches, buckets):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
             common = np.repeat(owner[start] != owner[start + size - 1], size)
-            probe, count = np.unique(owner[common], return_counts=True)
+            owners, count = np.unique(owner[common], return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(probe), pa.array(count)], names=["probe", "elsewhere"]
+                [pa.array(owners), pa.array(count)], names=["owner", "elsewhere"]
             )
 
-    found = dealt.repartition(tasks, "bucket").mapInArrow(run, "probe long, elsewhere long")
-    return found.groupBy("probe").agg(F.sum("elsewhere").alias("elsewhere"))
+    found = dealt.repartition(tasks, "bucket").mapInArrow(run, "owner long, elsewhere long")
+    return found.groupBy("owner").agg(F.sum("elsewhere").alias("elsewhere"))
 
 
 # --- Candidates ----------------------------------------------------------------------------
@@ -315,28 +360,43 @@ def _sets_of(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, n long, sketch binary, shingles array<long>")
 
 
-def _dealt_signatures(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    schema = pa.schema(
-        [("bucket", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())]
-    )
+def _dealt_shingles(sets: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _portions(batch, batch.column(1).to_numpy()):
+                ids, sizes, lists = part.columns
+                owners = np.repeat(ids.to_numpy(), sizes.to_numpy())
+                yield _deal(lists.flatten().to_numpy().view(np.uint64), owners, buckets)
+
+    return sets.select("id", "n", "shingles").mapInArrow(run, _DEALT)
+
+
+def _met(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """The ids of sets with `percent` of their shingles in sets of other ids, all linked ones."""
+    dealt = _dealt_shingles(sets, 4 * tasks)
+    found = _found_elsewhere(dealt, tasks, 4 * tasks).withColumnRenamed("owner", "id")
+    # An id with several texts is judged by all that is met against its smallest set.
+    least = sets.groupBy("id").agg(F.min("n").alias("n"))
+    return found.join(least, "id").where(100 * F.col("elsewhere") >= percent * F.col("n")).select("id")
 
+
+def _dealt_signatures(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                ids, lists = batch.slice(at, 500).columns
+            for part in _portions(batch, batch.column(1).to_numpy()):
+                ids, _, lists = part.columns
                 made = [signatures(s.values.to_numpy().view(np.uint64), percent) for s in lists]
                 owners = np.repeat(ids.to_numpy(), [len(m) for m in made])
-                dealt = _deal(np.concatenate(made), owners, buckets)
-                yield pa.RecordBatch.from_pydict(dealt, schema=schema)
+                yield _deal(np.concatenate(made), owners, buckets)
 
-    return sets.select("id", "shingles").mapInArrow(run, _DEALT)
+    return sets.select("id", "n", "shingles").mapInArrow(run, _DEALT)
 
 
-def _matches(dealt: DataFrame, tasks: int, small_group: int) -> DataFrame:
+def _matches(dealt: DataFrame, tasks: int, buckets: int, small_group: int) -> DataFrame:
     """(g, a, b): pairs to verify with g null; members b of large groups g around a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, owner in _by_bucket(batches):
+        for key, owner in _by_bucket(batches, buckets):
             # Guests of a band sort before its own sets; a group without own sets says nothing.
             own, key = (key & np.uint64(1)).astype(bool), key >> np.uint64(1)
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -478,6 +538,7 @@ def ngram_classes(
         _scan(documents, id_col, text_col, n, percent, 4 * least), f"{root}/scanned"
     )
     rows = scanned.where("print IS NOT NULL").select("id", "n", "print", "probe", "probed", "shared")
+    rows = _stored(rows, f"{root}/rows")
     known = rows.where("id IS NOT NULL AND n > 0")
     classes = _stored(
         known.groupBy("print").agg(
@@ -488,13 +549,14 @@ def ngram_classes(
         f"{root}/classes",
     )
     dealt = scanned.where("bucket IS NOT NULL").select("bucket", "keys", "owners")
-    elsewhere = _found_elsewhere(dealt, least)
+    elsewhere = _found_elsewhere(dealt, least, 4 * least).withColumnRenamed("owner", "probe")
     promising = classes.join(elsewhere, "probe", "left").where(
         8 * (F.col("shared") + F.coalesce("elsewhere", F.lit(0))) >= F.col("probed")
     )
     wanted = _stored(
         promising.select(F.col("class_id").alias("id")).distinct(), f"{root}/wanted"
     )
+    paths.delete(spark, f"{root}/scanned")  # what was dealt is not needed any more
     texts = documents.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
     )
@@ -504,12 +566,17 @@ def ngram_classes(
     texts = texts.join(wanted, "id", "left_semi")
     # Rows of one id may have different texts: every text goes on under the id.
     sets = _stored(_sets_of(texts, n), f"{root}/sets").where("n > 0")
+    tasks = _tasks(spark, int(sets.agg(F.sum("n")).first()[0] or 0))
+    met = _stored(_met(sets, percent, tasks), f"{root}/met-ids")
+    met = F.broadcast(met) if _few(met) else met
+    sets = _stored(sets.join(met, "id", "left_semi"), f"{root}/met-sets")
+    paths.delete(spark, f"{root}/sets")
     size = F.col("n").cast("double")
     # Signatures of a set: about 1.8 for each difference its two bands allow.
     total = sets.agg(F.sum(size * (200 - 2 * percent) / (100 + percent) * 4.9 + 8)).first()[0]
     tasks = _tasks(spark, int(total or 0))
     matched = _stored(
-        _matches(_dealt_signatures(sets, percent, 4 * tasks), tasks, small_group),
+        _matches(_dealt_signatures(sets, percent, 4 * tasks), tasks, 4 * tasks, small_group),
         f"{root}/matched",
     )
     joined, pairs = _spanned(matched, sets, percent, root)
@@ -624,43 +691,32 @@ def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
     one this is has no more in common with it. `before` is the set's key before, or a number no
     other set has.
 
-    A key is the frequency of a shingle above 44 bits of it, so keys sort by rarity. Shingles
+    A key is the frequency of a shingle above 44 bits of its hash, so keys sort by rarity. Shingles
     with one key count as equal, which can only add pairs.
     """
     buckets, spread = 4 * tasks, 2 * tasks
 
-    def packed(dealt: dict[str, list]) -> pa.RecordBatch:
-        columns = zip(dealt.values(), (pa.int32(), pa.binary(), pa.binary()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=[*dealt])
-
-    def by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                ids, sizes, lists = batch.slice(at, 500).columns
-                owners = np.repeat(ids.to_numpy(), sizes.to_numpy())
-                yield packed(_deal(lists.flatten().to_numpy().view(np.uint64), owners, buckets))
-
     def by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners, ranks = [], []
-        for key, owner in _by_bucket(batches):
+        for key, owner in _by_bucket(batches, buckets):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
             often = np.repeat(np.minimum(size, (1 << 19) - 1), size)
-            rank = often.astype(np.int64) << 44 | (key >> np.uint64(20)).astype(np.int64)
+            rank = often.astype(np.int64) << 44 | (mix(key) >> np.uint64(20)).astype(np.int64)
             met = often > 1
             owners.append(owner[met].view(np.uint64))
             ranks.append(rank[met])
         # Dealt once a task: packs number tasks times buckets.
         if owners and sum(map(len, owners)):
-            yield packed(_deal(np.concatenate(owners), np.concatenate(ranks), spread))
+            yield _deal(np.concatenate(owners), np.concatenate(ranks), spread, exact=True)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts = (c.to_numpy() for c in batch.columns)
-            yield packed(_deal(ids.view(np.uint64), -counts, spread))
+            yield _deal(ids.view(np.uint64), -counts, spread, exact=True)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, value in _by_bucket(batches):
+        for key, value in _by_bucket(batches, spread, exact=True):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             kept, ids, counts, common, before = [], [], [], [], []
             for first, end in zip(start, [*start[1:], len(key)]):
@@ -685,8 +741,7 @@ def _rare_prefixes(sets: DataFrame, percent: int, tasks: int) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns], names=["key", "id", "n", "met", "before"]
                 )
 
-    records = sets.select("id", "n", "shingles").mapInArrow(by_shingle, _DEALT)
-    ranked = records.repartition(tasks, "bucket").mapInArrow(by_id, _DEALT)
+    ranked = _dealt_shingles(sets, buckets).repartition(tasks, "bucket").mapInArrow(by_id, _DEALT)
     ranked = ranked.unionAll(sets.select("id", "n").mapInArrow(sizes, _DEALT))
     ranked = ranked.repartition(tasks, "bucket")
     return ranked.mapInArrow(prefix, "key long, id long, n long, met long, before long")
